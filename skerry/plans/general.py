@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from skerry.operators.faults import implausible_readings
 from skerry.operators.regular import hours_without_reading, regular_grid
 from skerry.runtime import table
+from skerry.sources.lines import loaded_lines, rejected_lines
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return rejected_lines(table(spark, d, "raw_line"))
+
+
+def p2_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """The good lines as observations."""
+    o = loaded_lines(table(spark, d, "raw_line"))
+    return o.select("line_id", "station_id", F.unix_micros("time").alias("time_us"), "latitude", "longitude", "value")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +41,37 @@ def p4_hourly(spark: SparkSession, d: str) -> DataFrame:
     return g.select("station_id", F.col("cell_s").cast("long").alias("hour_s"), "n", F.round("mean", 6).alias("mean"), F.round("coverage", 6).alias("coverage"), "status")
 
 
+NUMBER_SQL = "[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?"
+P2_LINES = f"""
+l AS (SELECT line_id, regexp_replace(coalesce(line, ''), '\\r$', '') AS s FROM raw_line),
+q AS (SELECT line_id, s, regexp_full_match(s, '([^",]*|"([^"]|"")*")(,([^",]*|"([^"]|"")*"))*', 's') AS quoted,
+        regexp_extract_all(',' || s, ',("(?:[^"]|"")*"|[^",]*)', 1, 's') AS f FROM l),
+c AS (SELECT line_id, quoted, len(f) = 8 AND s <> '' AS eight,
+        list_transform(f, lambda x: regexp_replace(CASE WHEN x[1] = '"' THEN replace(x[2:-2], '""', '"') ELSE x END, '^[ \\t]+|[ \\t]+$', '', 'g')) AS f FROM q),
+k AS (SELECT *, regexp_full_match(f[2], '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]{{1,9}})?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') AS shape,
+        regexp_extract(f[2], '([+-])([0-9]{{2}}):?([0-9]{{2}})$', ['sg', 'h', 'm']) AS o,
+        regexp_full_match(f[3], '{NUMBER_SQL}') AS lat, regexp_full_match(f[5], '{NUMBER_SQL}') AS val, regexp_full_match(f[4], '{NUMBER_SQL}') AS lon FROM c),
+t AS (SELECT *, CASE WHEN shape AND length(f[2]) > 16 AND o.sg <> '' AND regexp_matches(f[2], ':[0-9]{{2}}.*[+-][0-9]{{2}}:?[0-9]{{2}}$')
+          THEN try_cast(o.h AS INT) * 60 + try_cast(o.m AS INT) ELSE 0 END AS off FROM k),
+v AS (SELECT *, coalesce(shape AND try_cast(f[2][1:10] AS DATE) IS NOT NULL AND f[2][1:4] <> '0000' AND try_cast(f[2][12:13] AS INT) <= 23 AND try_cast(f[2][15:16] AS INT) <= 59
+            AND CASE WHEN f[2][17:17] = ':' THEN try_cast(f[2][18:19] AS INT) <= 59 ELSE true END AND off <= 840, false) AS time_ok,
+        coalesce(lat AND abs(try_cast(f[3] AS DOUBLE)) <= 90, false) AS lat_ok, coalesce(val AND isfinite(try_cast(f[5] AS DOUBLE)), false) AS val_ok FROM t)
+"""
+P2_FOUND = f"""WITH {P2_LINES}
+SELECT line_id, 'quoting' AS reason FROM v WHERE NOT quoted
+UNION ALL SELECT line_id, 'columns' FROM v WHERE quoted AND NOT eight
+UNION ALL SELECT line_id, 'time' FROM v WHERE quoted AND eight AND NOT time_ok
+UNION ALL SELECT line_id, 'latitude' FROM v WHERE quoted AND eight AND NOT lat_ok
+UNION ALL SELECT line_id, 'value' FROM v WHERE quoted AND eight AND NOT val_ok"""
+P2_LOADED = f"""WITH {P2_LINES}
+SELECT line_id, f[1] AS station_id,
+  (epoch_us(f[2][1:10]::TIMESTAMP) + f[2][12:13]::BIGINT * 3600000000 + f[2][15:16]::BIGINT * 60000000
+   + CASE WHEN f[2][17:17] = ':' THEN f[2][18:19]::BIGINT * 1000000 ELSE 0 END
+   + CASE WHEN f[2][20:20] = '.' THEN rpad(regexp_extract(f[2], '\\.([0-9]+)', 1), 6, '0')[1:6]::BIGINT ELSE 0 END
+   - CASE WHEN off = 0 THEN 0 WHEN o.sg = '-' THEN -off ELSE off END::BIGINT * 60000000)::BIGINT AS time_us,
+  f[3]::DOUBLE AS latitude, CASE WHEN lon THEN try_cast(f[4] AS DOUBLE) END AS longitude, f[5]::DOUBLE AS value
+FROM v WHERE quoted AND eight AND time_ok AND lat_ok AND val_ok"""
+
 P3_READINGS = """
 r AS (SELECT DISTINCT station_id, epoch_us(time) AS t, obs_id, value AS v FROM obs
       WHERE station_id IS NOT NULL AND time IS NOT NULL AND obs_id IS NOT NULL AND isfinite(value)),
@@ -69,8 +111,10 @@ hourly AS (SELECT station_id, c * 3600 AS hour_s, coalesce(sum(n) FILTER (WHERE
              sum(us * v) AS vus, avg(v) FILTER (WHERE starts) AS plain FROM part GROUP BY 1, 2)
 """
 
-QUERIES = {"p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly}
+QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly}
 SQL = {
+    "p2_found": P2_FOUND,
+    "p2_loaded": P2_LOADED,
     "p3_found": f"WITH {P3_READINGS} SELECT DISTINCT obs_id FROM flagged WHERE spike OR stuck OR impossible",
     "p3_by_station": f"WITH {P3_READINGS} SELECT station_id, sum(spike::INT)::BIGINT AS n_spike, sum(stuck::INT)::BIGINT AS n_stuck, sum(impossible::INT)::BIGINT AS n_impossible FROM flagged WHERE spike OR stuck OR impossible GROUP BY 1",
     "p4_found": f"WITH {P4_READINGS} SELECT station_id, hour_s FROM hourly WHERE n = 0",
