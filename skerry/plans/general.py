@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skerry.operators.faults import implausible_readings
 from skerry.operators.regular import hours_without_reading, regular_grid
+from skerry.operators.stamps import normalise_stamps, unambiguous_instants
 from skerry.runtime import table
 from skerry.sources.lines import loaded_lines, rejected_lines
 
@@ -41,6 +42,16 @@ def p4_hourly(spark: SparkSession, d: str) -> DataFrame:
     return g.select("station_id", F.col("cell_s").cast("long").alias("hour_s"), "n", F.round("mean", 6).alias("mean"), F.round("coverage", 6).alias("coverage"), "status")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return unambiguous_instants(table(spark, d, "logger_row"), table(spark, d, "feed"))
+
+
+def p5_formats(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by format and number of readings."""
+    n = normalise_stamps(table(spark, d, "logger_row"), table(spark, d, "feed"))
+    return n.groupBy(F.coalesce("format", F.lit("none")).alias("format"), "readings").agg(F.count("*").alias("n"))
+
+
 NUMBER_SQL = "[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?"
 P2_LINES = f"""
 l AS (SELECT line_id, regexp_replace(coalesce(line, ''), '\\r$', '') AS s FROM raw_line),
@@ -111,7 +122,7 @@ hourly AS (SELECT station_id, c * 3600 AS hour_s, coalesce(sum(n) FILTER (WHERE
              sum(us * v) AS vus, avg(v) FILTER (WHERE starts) AS plain FROM part GROUP BY 1, 2)
 """
 
-QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly}
+QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_formats": p5_formats}
 SQL = {
     "p2_found": P2_FOUND,
     "p2_loaded": P2_LOADED,
