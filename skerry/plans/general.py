@@ -6,12 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skerry.operators.faults import implausible_readings
+from skerry.operators.places import containing_regions, near_or_inside, near_pairs, positions
 from skerry.operators.regular import hours_without_reading, regular_grid
 from skerry.operators.stamps import normalise_stamps, unambiguous_instants
 from skerry.runtime import table
 from skerry.sources.lines import loaded_lines, rejected_lines
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_or_inside(table(spark, d, "sites"), table(spark, d, "aoi"))
+
+
+def p1_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Each site with a position: how many other sites are within 250 m, and how many areas hold it."""
+    p = positions(table(spark, d, "sites"))
+    near = near_pairs(p, 250.0)
+    ends = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_near"))
+    inside = containing_regions(p, table(spark, d, "aoi")).groupBy("id").agg(F.count("*").alias("n_inside"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return p.join(ends, "id", "left").join(inside, "id", "left").select("id", zero("n_near"), zero("n_inside"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return rejected_lines(table(spark, d, "raw_line"))
 
@@ -52,6 +67,22 @@ def p5_formats(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy(F.coalesce("format", F.lit("none")).alias("format"), "readings").agg(F.count("*").alias("n"))
 
 
+P1_SITES = """
+s AS (SELECT id, min(struct_pack(lat := lat, lon := CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END)) AS p FROM sites
+      WHERE id IS NOT NULL AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 360 GROUP BY id),
+c AS (SELECT id, p.lat AS lat, p.lon AS lon, floor((p.lat + 90) / 0.005)::INT AS band FROM s),
+near AS (SELECT x.id AS a, y.id AS b FROM c x JOIN (SELECT *, unnest([band - 1, band, band + 1]) AS of FROM c) y ON x.band = y.of AND x.id < y.id
+         WHERE 12742000 * asin(sqrt(least(1, pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2)))) <= 250),
+rings AS (SELECT aoi, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS r FROM aoi),
+pts AS (SELECT aoi, row_number() OVER () AS ring, list_transform(string_split(r, ','), lambda q: list_transform(string_split(trim(q), ' '), lambda v: v::DOUBLE)) AS q FROM rings),
+seg AS (SELECT aoi, q[i] AS u, q[i + 1] AS v FROM (SELECT aoi, q, unnest(generate_series(1, len(q) - 1)) AS i FROM pts)),
+turn AS (SELECT c.id, c.lat, c.lon + 360 * k AS lon FROM c, unnest([-1, 0, 1]) AS t(k)),
+cross_ AS (SELECT turn.id, aoi, lon FROM turn JOIN (SELECT seg.*, a2.west, a2.east, a2.south, a2.north FROM seg JOIN aoi a2 USING (aoi)) e
+           ON turn.lon BETWEEN west - 0.001 AND east + 0.001 AND turn.lat BETWEEN south - 0.001 AND north + 0.001
+           WHERE (u[2] > lat) <> (v[2] > lat) AND lon < (v[1] - u[1]) * (lat - u[2]) / (v[2] - u[2]) + u[1]),
+inside AS (SELECT DISTINCT id AS a, aoi AS b FROM (SELECT id, aoi, lon, count(*) AS n FROM cross_ GROUP BY 1, 2, 3) WHERE n % 2 = 1)
+"""
+
 NUMBER_SQL = "[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?"
 P2_LINES = f"""
 l AS (SELECT line_id, regexp_replace(coalesce(line, ''), '\\r$', '') AS s FROM raw_line),
@@ -122,8 +153,11 @@ hourly AS (SELECT station_id, c * 3600 AS hour_s, coalesce(sum(n) FILTER (WHERE
              sum(us * v) AS vus, avg(v) FILTER (WHERE starts) AS plain FROM part GROUP BY 1, 2)
 """
 
-QUERIES = {"p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_formats": p5_formats}
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p2_found": p2_found, "p2_loaded": p2_loaded, "p3_found": p3_found, "p3_by_station": p3_by_station, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_formats": p5_formats}
 SQL = {
+    "p1_found": f"WITH {P1_SITES} SELECT 'near' AS relation, a, b FROM near UNION ALL SELECT 'inside', a, b FROM inside",
+    "p1_neighbours": f"""WITH {P1_SITES}, n AS (SELECT unnest([a, b]) AS id FROM near) SELECT c.id, (SELECT count(*) FROM n WHERE n.id = c.id) AS n_near,
+        (SELECT count(*) FROM inside i WHERE i.a = c.id) AS n_inside FROM c""",
     "p2_found": P2_FOUND,
     "p2_loaded": P2_LOADED,
     "p3_found": f"WITH {P3_READINGS} SELECT DISTINCT obs_id FROM flagged WHERE spike OR stuck OR impossible",
