@@ -17,6 +17,40 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return m.select("overpass_id", "obs_id")
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    from skerry.llm.bpe import encode_texts
+
+    return encode_texts(table(spark, d, "documents"))
+
+
+def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The texts after encoding and decoding."""
+    from skerry.llm.bpe import decode_ids
+
+    return decode_ids(p7_ids(spark, d))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    from skerry.llm.leaks import find_leaks
+
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_item")).select("item_id", "doc_id").distinct()
+
+
+def p8_by_item(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and longest shared stretch of each leaked item."""
+    from skerry.llm.leaks import find_leaks
+
+    f = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
+    return f.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("longest").cast("long").alias("longest"))
+
+
+def p8_scrubbed(spark: SparkSession, d: str) -> DataFrame:
+    """The documents without their leaked stretches."""
+    from skerry.llm.leaks import remove_leaks
+
+    return remove_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
 P6_SQL = """
 WITH o AS (SELECT DISTINCT overpass_id, trim(station_id, ' \t') AS s, epoch_us(time) AS t FROM overpass
            WHERE overpass_id IS NOT NULL AND station_id IS NOT NULL AND time IS NOT NULL),
@@ -27,5 +61,5 @@ WITH o AS (SELECT DISTINCT overpass_id, trim(station_id, ' \t') AS s, epoch_us(t
 SELECT overpass_id, obs_id FROM m WHERE n = 1
 """
 
-QUERIES = {"p6_found": p6_found}
-SQL = {"p6_found": P6_SQL}
+QUERIES = {"p6_found": p6_found, "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_found": p8_found, "p8_by_item": p8_by_item, "p8_scrubbed": p8_scrubbed}
+SQL = {"p6_found": P6_SQL, "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
