@@ -51,6 +51,19 @@ def p8_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     return remove_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from skerry.llm.garbled import find_garbled
+
+    return find_garbled(table(spark, d, "documents")).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The garbled documents with their text restored as far as it can be."""
+    from skerry.llm.garbled import restore_garbled
+
+    return restore_garbled(table(spark, d, "documents")).select("doc_id", "restored", "complete")
+
+
 P6_SQL = """
 WITH o AS (SELECT DISTINCT overpass_id, trim(station_id, ' \t') AS s, epoch_us(time) AS t FROM overpass
            WHERE overpass_id IS NOT NULL AND station_id IS NOT NULL AND time IS NOT NULL),
@@ -61,5 +74,5 @@ WITH o AS (SELECT DISTINCT overpass_id, trim(station_id, ' \t') AS s, epoch_us(t
 SELECT overpass_id, obs_id FROM m WHERE n = 1
 """
 
-QUERIES = {"p6_found": p6_found, "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_found": p8_found, "p8_by_item": p8_by_item, "p8_scrubbed": p8_scrubbed}
+QUERIES = {"p6_found": p6_found, "p7_ids": p7_ids, "p7_decoded": p7_decoded, "p8_found": p8_found, "p8_by_item": p8_by_item, "p8_scrubbed": p8_scrubbed, "p9_found": p9_found, "p9_restored": p9_restored}
 SQL = {"p6_found": P6_SQL, "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
