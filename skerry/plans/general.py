@@ -54,7 +54,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_hourly(spark: SparkSession, d: str) -> DataFrame:
     """The hourly series: readings, coverage and time-weighted mean of every hour of every station."""
     g = regular_grid(table(spark, d, "obs"))
-    return g.select("station_id", F.col("cell_s").cast("long").alias("hour_s"), "n", F.round("mean", 6).alias("mean"), F.round("coverage", 6).alias("coverage"), "status")
+    return g.select("station_id", F.col("cell_s").cast("long").alias("hour_s"), "n", F.round(F.col("mean") + 1e-9, 6).alias("mean"), F.round("coverage", 6).alias("coverage"), "status")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -163,6 +163,6 @@ SQL = {
     "p3_found": f"WITH {P3_READINGS} SELECT DISTINCT obs_id FROM flagged WHERE spike OR stuck OR impossible",
     "p3_by_station": f"WITH {P3_READINGS} SELECT station_id, sum(spike::INT)::BIGINT AS n_spike, sum(stuck::INT)::BIGINT AS n_stuck, sum(impossible::INT)::BIGINT AS n_impossible FROM flagged WHERE spike OR stuck OR impossible GROUP BY 1",
     "p4_found": f"WITH {P4_READINGS} SELECT station_id, hour_s FROM hourly WHERE n = 0",
-    "p4_hourly": f"""WITH {P4_READINGS} SELECT station_id, hour_s, n, round(CASE WHEN us > 0 THEN vus / us ELSE plain END, 6) AS mean,
+    "p4_hourly": f"""WITH {P4_READINGS} SELECT station_id, hour_s, n, round(CASE WHEN us > 0 THEN vus / us ELSE plain END + 1e-9, 6) AS mean,
         round(us / 3600000000.0, 6) AS coverage, CASE WHEN n > 0 THEN 'read' WHEN us > 0 THEN 'held' ELSE 'missing' END AS status FROM hourly""",
 }
