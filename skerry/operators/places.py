@@ -78,8 +78,11 @@ def _triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         names, parts = [], []
         for region, wkt in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for polygon in T.parse_wkt(wkt):
-                tri = T.wrapped(T.triangulate(polygon))
+            try:
+                made = [T.wrapped(T.triangulate(polygon)) for polygon in T.parse_wkt(wkt)]
+            except ValueError as e:
+                raise ValueError(f"region {region!r}: {e}") from e
+            for tri in made:
                 names += [region] * len(tri)
                 parts.append(tri.reshape(-1, 6))
         flat = np.concatenate(parts) if parts else np.empty((0, 6))
@@ -87,7 +90,8 @@ def _triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def triangles_of(regions: DataFrame, *, region: str = "aoi", wkt: str = "wkt") -> DataFrame:
-    """The triangles of each region's polygons (``region, x0, y0 .. y2``), by ear clipping. NULL regions or areas give none."""
+    """The triangles of each region's polygons (``region, x0, y0 .. y2``), by ear clipping. NULL regions or areas give none; an
+    area that isn't a polygon, or whose rings cross each other, is an error that names the region."""
     return regions.select(F.col(region).cast("string").alias("region"), F.col(wkt).cast("string").alias("wkt")).where("region IS NOT NULL AND wkt IS NOT NULL").mapInArrow(_triangles, TRIANGLE)
 
 
@@ -163,8 +167,9 @@ def _by_blocks(points: DataFrame, tri: DataFrame, blocks: int, per_task: int) ->
 
     sent = cut(points.mapInArrow(send, "block int, id string, lat double, lon double"))
     tasks = sent.groupBy("block").agg(F.ceil(F.count("*") / per_task).cast("int").alias("tasks"))
-    salted = sent.join(tasks, "block").withColumn("salt", F.pmod(F.xxhash64("id"), "tasks").cast("int"))
-    copies = tri.join(tasks, "block").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    salted = sent.join(tasks, "block").withColumn("salt", F.pmod(F.xxhash64("id"), "tasks").cast("int")).drop("tasks")
+    times = tasks.select((F.col("block") + 0).alias("block"), (F.col("tasks") - 1).alias("last"))
+    copies = tri.join(times, "block").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
 
     def test(p: pa.Table, t: pa.Table) -> pa.Table:
         out = pa.schema([("id", pa.string()), ("region", pa.string())])
