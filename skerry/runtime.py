@@ -32,3 +32,16 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder, so that later stages don't compute it again."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` over all cores where a scan of its size would not fill them, for costly work row by row.
+
+    A larger input keeps the scan's own partitions and is not shuffled; a smaller one is hashed by the columns, so that the
+    result is the same when a task runs again.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    full = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df if size >= cores * full else df.repartition(2 * cores, *columns)

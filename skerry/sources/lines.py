@@ -11,6 +11,8 @@ import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skerry.runtime import spread
+
 FIELDS = ("station_id", "time", "latitude", "longitude", "value", "z", "qc", "station_name")
 WELL_QUOTED = r'^(?:[^",]*|"(?:[^"]|"")*")(?:,(?:[^",]*|"(?:[^"]|"")*"))*\z'
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
@@ -141,9 +143,10 @@ def parse_observation_lines(lines: DataFrame, *, line_id: str = "line_id", line:
     fields (reason ``columns``); lines with broken quoting are kept from it (``quoting``). All fields are read as text, then
     cast as vectors: ``time``, ``latitude`` and ``value`` name the cells that fail. A longitude, z or qc that is no number gives
     NULL and no reason. One carriage return at the end of a line is dropped; an empty or NULL line has the reason ``columns``;
-    a NULL line_id is kept. A line given twice comes out twice. Works batch by batch without a shuffle.
+    a NULL line_id is kept. A line given twice comes out twice. Works batch by batch; only an input too small to fill the cores is shuffled.
     """
-    return lines.select(F.col(line_id).cast("long").alias("line_id"), F.col(line).cast("string").alias("line")).mapInArrow(_parse, OUT)
+    rows = lines.select(F.col(line_id).cast("long").alias("line_id"), F.col(line).cast("string").alias("line"))
+    return spread(rows, "line_id", "line").mapInArrow(_parse, OUT)
 
 
 def rejected_lines(lines: DataFrame, **names) -> DataFrame:
