@@ -34,14 +34,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where a scan of its size would not fill them, for costly work row by row.
 
-    A larger input keeps the scan's own partitions and is not shuffled; a smaller one is hashed by the columns, so that the
-    result is the same when a task runs again.
+    A larger input keeps the scan's own partitions and is not shuffled. A smaller one is dealt out evenly, whatever its values;
+    Spark orders the rows before dealing them, so that a task that runs again gets the same.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     full = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df if size >= cores * full else df.repartition(2 * cores, *columns)
+    return df if size >= cores * full else df.repartition(2 * cores)

@@ -146,7 +146,7 @@ def parse_observation_lines(lines: DataFrame, *, line_id: str = "line_id", line:
     a NULL line_id is kept. A line given twice comes out twice. Works batch by batch; only an input too small to fill the cores is shuffled.
     """
     rows = lines.select(F.col(line_id).cast("long").alias("line_id"), F.col(line).cast("string").alias("line"))
-    return spread(rows, "line_id", "line").mapInArrow(_parse, OUT)
+    return spread(rows).mapInArrow(_parse, OUT)
 
 
 def rejected_lines(lines: DataFrame, **names) -> DataFrame:
