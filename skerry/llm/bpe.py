@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skerry.runtime import spread
+
 VOCABULARIES = "/opt/tokenizers"
 #: Fixed value: the published pre-tokenisation pattern of this vocabulary.
 PIECES = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -102,7 +104,7 @@ def encode_texts(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
     """``ident, ids``: the token ids of each row's text, no special tokens; an empty list for empty and NULL texts.
 
     Text that looks like a special token is plain text. Blank texts have the ids of their blanks. Rows given twice come out
-    twice, a NULL ident stays. Works row by row without a shuffle; ``folder`` must exist on every worker.
+    twice, a NULL ident stays. Works row by row; ``folder`` must exist on every worker.
     """
     path = _path(name, folder)
 
@@ -118,7 +120,7 @@ def encode_texts(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))], names=[ident, "ids"])
 
     kind = docs.schema[ident].dataType.simpleString()
-    return docs.select(F.col(ident), F.col(text).cast("string")).mapInArrow(run, f"{ident} {kind}, ids array<int>")
+    return spread(docs.select(F.col(ident), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"{ident} {kind}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, *, ident: str = "doc_id", ids: str = "ids", name: str = "byte_bpe_50k", folder: str = VOCABULARIES) -> DataFrame:

@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skerry.runtime import spread
+
 WORDS = regex.compile(r"[\p{L}\p{N}]+")
 ASCII_WORDS = re.compile(r"[a-z0-9]+")
 FORMAT = regex.compile(r"\p{Cf}+")
@@ -177,13 +179,14 @@ def _automata(items: DataFrame, ident: str, text: str, track: int, block_words:
 def find_leaks(docs: DataFrame, items: DataFrame, *, length: int = 13, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = 200_000) -> DataFrame:
     """``item_id, doc_id, longest``: documents that hold ``length`` or more consecutive words of an item, each pair once a row.
 
-    Words are those of :func:`words_of`. Documents stream past the automaton of the items, whole, without a shuffle. The held-out
+    Words are those of :func:`words_of`. Documents stream past the automaton of the items, whole. The held-out
     items are a bounded side: an automaton of at most ``block_words`` words goes to the tasks; more items make more blocks,
     each run against all documents. NULL and empty texts, and items shorter than ``length`` words, match nothing; a doc_id given
     twice comes out for each of its rows that match; rows with a NULL doc_id are dropped.
     """
     spark = docs.sparkSession
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_text).cast("string").alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    d = spread(d)
 
     def against(a: Automaton) -> DataFrame:
         sent = spark.sparkContext.broadcast(a)
@@ -209,6 +212,7 @@ def remove_leaks(docs: DataFrame, items: DataFrame, *, length: int = 13, share:
     ``track`` words that make up ``share`` of an item. Untouched texts stay as they are, NULL stays NULL."""
     spark = docs.sparkSession
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_text).cast("string").alias("text"), F.lit(0).alias("words_removed"))
+    out = spread(out)
     for a in _automata(items, item_id, item_text, track, block_words):
         sent = spark.sparkContext.broadcast(a)
 
