@@ -28,6 +28,12 @@ def season_shows(days: DataFrame, day: str = "day") -> DataFrame:
     return s.select(flag(F.col("span") & ~((F.col("s") < 1e-3) & (F.col("c") < 1e-3))).alias("harmonic"))
 
 
+def beside(df: DataFrame, single: DataFrame) -> DataFrame:
+    """``df`` with the columns of a frame of one row (the result of an aggregate without keys), which goes to every task."""
+    one = F.lit(1).alias("_one")
+    return df.select("*", one).join(F.broadcast(single.select("*", one)), "_one").drop("_one")
+
+
 def sigma_fit(values: DataFrame, *, keys: list[str], value: str, day: str, harmonic: bool = False) -> DataFrame:
     """``*keys, n, b0[, b1, b2], sigma``: least squares of the value on the design for each group (no keys: pooled).
 
@@ -58,9 +64,9 @@ def sigma_fit(values: DataFrame, *, keys: list[str], value: str, day: str, harmo
     g = g.withColumn("_det", det)
     g = g.select(*keys, "n", *(F.when(enough & (F.abs("_det") >= TINY), s / F.col("_det")).alias(f"b{i}") for i, s in enumerate(solved)))
     fitted = sum((F.col(f"_x{i}") * F.col(f"b{i}") for i in range(1, k)), F.col("_x0") * F.col("b0"))
-    joined = v.join(g, keys) if keys else v.join(F.broadcast(g))  # pooled: one row
+    joined = v.join(g, keys) if keys else beside(v, g)
     res = joined.groupBy(*keys).agg(F.sum(F.pow(F.col("_v") - fitted, 2)).alias("_ssr"))
-    g = g.join(res, keys) if keys else g.join(F.broadcast(res))
+    g = g.join(res, keys) if keys else beside(g, res)
     return g.withColumn("sigma", F.sqrt(F.col("_ssr") / F.greatest(F.col("n") - k, F.lit(1)))).drop("_ssr")
 
 
@@ -89,7 +95,7 @@ def offset_filter(df: DataFrame, *, baseline: str = "baseline", threshold: float
 def sigma_filter(df: DataFrame, fit: DataFrame, *, keys: list[str], n_sigma: float = 3.0, day: str = "day", harmonic: bool = False, value: str = "sst") -> DataFrame:
     """Drop pixels below the cutoff of their group's baseline fit; groups without a fit drop none."""
     betas = [c for c in fit.columns if c in ("b0", "b1", "b2", "sigma")]
-    j = df.join(fit.select(*keys, *betas), keys, "left") if keys else df.join(F.broadcast(fit.select(*betas)))
+    j = df.join(fit.select(*keys, *betas), keys, "left") if keys else beside(df, fit.select(*betas))
     return fold_drop(j, F.col(value) < cutoff(None, n_sigma, F.col(day), harmonic), "sigma_flag", value=value).drop(*betas)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skerry.functions.values import flag
+from skerry.operators.filters import beside
 
 
 def depth_of(elevation: Column) -> Column:
@@ -104,7 +105,7 @@ def sample_cells(dem: DataFrame, *, blocks: int, height: int, width: int, low: f
     DEM if no cell is in it), of equals the first by row and column."""
     banded = dem.where(F.col("elevation").between(low, high))
     none = banded.agg((F.count("*") == 0).alias("_none"))
-    d = dem.where("elevation IS NOT NULL").join(F.broadcast(none)).where(F.col("_none") | F.col("elevation").between(low, high))  # one row
+    d = beside(dem.where("elevation IS NOT NULL"), none).where(F.col("_none") | F.col("elevation").between(low, high))
     part = lambda c, n: F.least(F.floor(F.col(c) * blocks / n), F.lit(blocks - 1))
     d = d.withColumn("block", (part("row", height) * blocks + part("col", width)).cast("int"))
     best = d.groupBy("block").agg(F.min(F.struct(F.abs("elevation").alias("a"), "row", "col", "elevation")).alias("b"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skerry.functions import geo, times, values
-from skerry.operators import cube, filters, match, neighbourhood, rasters, reduce, scenes, tides
+from skerry.operators import acquire, cube, filters, match, neighbourhood, rasters, reduce, scenes, tides
 from skerry.runtime import table
 from skerry.sources import files
 from skerry.streaming import readings as streaming
@@ -761,3 +761,140 @@ def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     # all of the history at once: nothing is late
     out = streaming.drain(streaming.windowed(s, late="36500 days"), "skerry_stream_hourly")
     return out.withColumn("mean", rnd("mean", 6))
+
+
+# ---- selecting and shaping source rows ------------------------------------------------------------------------------------
+
+
+@query("find_stations", "SELECT DISTINCT s.station_id FROM station s JOIN (SELECT station_id, min(time) AS a, max(time) AS b FROM obs GROUP BY 1) o USING (station_id) WHERE lat BETWEEN -60.5 AND 70.5 AND lon BETWEEN -170.5 AND 170.5 AND a < TIMESTAMP '2025-01-01' AND b >= TIMESTAMP '2024-05-01'")
+def find_stations(spark: SparkSession, d: str) -> DataFrame:
+    spans = table(spark, d, "obs").groupBy("station_id").agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    return acquire.find_stations(table(spark, d, "station"), spans, box=(-170.0, -60.0, 170.0, 70.0), start="2024-05-01", end="2024-12-31", pad=0.5).select("station_id")
+
+
+@query("station_medians", f"WITH p AS ({DRIFT.format(events='events')}) SELECT user_id, round(median(lat::DOUBLE), 6) AS lat, round(median(lon::DOUBLE), 6) AS lon, count(*) AS n FROM p GROUP BY 1")
+def station_medians(spark: SparkSession, d: str) -> DataFrame:
+    p = frame(spark, d, DRIFT).withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
+    return acquire.station_medians(p, key="user_id").select("user_id", r6("lat"), r6("lon"), "n")
+
+
+@query("first_variable", "SELECT day, cr AS row, cc AS col, coalesce(value, baseline, cloud_pct) AS sst FROM cubed", ("cubed",), day="day")
+def first_variable(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.first_present(frame(spark, d, "cubed"), ["missing", "value", "baseline", "cloud_pct"], "sst").select("day", "row", "col", "sst")
+
+
+@query("areas_meeting_box", "SELECT aoi FROM aoi WHERE west < 12 AND -120 < east AND south < 50.05 AND -40.05 < north")
+def areas_meeting_box(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.boxes_meeting(table(spark, d, "aoi"), (-120.0, -40.05, 12.0, 50.05)).select("aoi")
+
+
+@query("footprints_meeting_box")
+def footprints_meeting_box(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.meets_box(table(spark, d, "aoi").select("aoi", "wkt"), (-120.0, -40.05, 12.0, 50.05)).select("aoi")
+
+
+TAGGED = "SELECT event_id, ts, CASE event_id % 5 WHEN 0 THEN 'D' WHEN 1 THEN 'N' END AS tag FROM {events}"
+
+
+@query("night_granules", f"WITH g AS ({TAGGED.format(events='events')}), h AS (SELECT *, (((hour(ts) + minute(ts) / 60.0::DOUBLE + second(ts) / 3600.0::DOUBLE + -70.0 / 15) % 24) + 24) % 24 AS h FROM g) SELECT event_id, round(h, 6) AS solar_h FROM h WHERE (h >= 19 OR h < 5) AND coalesce(tag <> 'D', true)")
+def night_granules(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.by_time_of_day(frame(spark, d, TAGGED), lon=F.lit(-70.0), wanted="night").select("event_id", r6("solar_h"))
+
+
+@query("swath_quality", "SELECT day, granule, count(*) AS n, count(CASE WHEN quality >= 2 THEN sst END) AS kept FROM scene GROUP BY 1, 2", ("scene",), day="day")
+def swath_quality(spark: SparkSession, d: str) -> DataFrame:
+    s = frame(spark, d, "scene").withColumn("raw", F.col("sst"))
+    return acquire.swath_values(s, least=2).groupBy("day", "granule").agg(F.count("*").alias("n"), F.count("sst").alias("kept"))
+
+
+LAYERS = f"SELECT concat('g', l_suppkey % 40) AS granule, CASE l_linenumber % 4 WHEN 0 THEN 'sst' WHEN 1 THEN 'cloud' WHEN 2 THEN 'water' ELSE 'error' END AS role, {CELL.format('l_partkey')}, CASE WHEN l_suppkey % 40 = 7 AND l_linenumber % 4 = 1 THEN NULL ELSE max(l_quantity) END AS value FROM {{lineitem}} GROUP BY l_suppkey % 40, l_linenumber % 4, 3, 4"
+
+
+@query("aligned_layers", f"""WITH l AS ({LAYERS.format(lineitem='lineitem')}), ok AS (SELECT granule FROM l WHERE role IN ('sst', 'cloud') AND value IS NOT NULL GROUP BY 1 HAVING count(DISTINCT role) = 2)
+  SELECT granule, cr AS row, cc AS col, max(value) FILTER (WHERE role = 'sst') AS sst, max(value) FILTER (WHERE role = 'cloud') AS cloud, max(value) FILTER (WHERE role = 'water') AS water FROM l JOIN ok USING (granule) GROUP BY 1, 2, 3""")
+def aligned_layers(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.aligned_layers(frame(spark, d, LAYERS), core=["sst", "cloud"], others=["water"])
+
+
+STEPS = f"SELECT CASE l_suppkey % 2 WHEN 0 THEN 'thetao' ELSE 'zos' END AS var, CAST(l_suppkey % 3 AS DOUBLE) * 2.5 AS level, {CELL.format('l_partkey')}, date_trunc('month', l_shipdate) + INTERVAL 1 HOUR * (l_linenumber % 5) AS ts0, max(l_quantity) AS value FROM {{lineitem}} GROUP BY 1, 2, 3, 4, 5"
+
+
+@query("level_channels", f"""WITH s AS ({STEPS.format(lineitem='lineitem')}), f AS (SELECT CAST(ts0 AS DATE) AS day, var, level, cr, cc, arg_min(value, ts0) AS value FROM s GROUP BY 1, 2, 3, 4, 5)
+  SELECT day, cr AS row, cc AS col, max(value) FILTER (WHERE var = 'thetao' AND level = 0) AS thetao_0m, max(value) FILTER (WHERE var = 'thetao' AND level = 2.5) AS thetao_2p5m, max(value) FILTER (WHERE var = 'zos') AS zos FROM f GROUP BY 1, 2, 3""", day="day")
+def level_channels(spark: SparkSession, d: str) -> DataFrame:
+    s = frame(spark, d, STEPS.replace("INTERVAL 1 HOUR * (l_linenumber % 5)", "make_interval(0, 0, 0, 0, l_linenumber % 5)"))
+    return acquire.level_channels(acquire.first_step_of_day(s), {"thetao": [0.0, 2.5], "zos": [None]})
+
+
+@query("field_subset", "SELECT obs_id, any_value(station_id) AS station_id FROM obs JOIN station USING (station_id) WHERE lat BETWEEN -45.5 AND 55.5 AND lon BETWEEN -60.5 AND 140.5 AND time >= TIMESTAMP '2024-02-01' AND time < TIMESTAMP '2025-08-02' AND z BETWEEN 0 AND 5.2 GROUP BY 1")
+def field_subset(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "obs").join(table(spark, d, "station").select("station_id", "lat", "lon"), "station_id").withColumnsRenamed({"time": "ts", "z": "depth"})
+    s = acquire.subset(f, box=(-60.0, -45.0, 140.0, 55.0), start="2024-02-01", end="2025-08-01", step=0.5, depths=(0.0, 5.2))
+    return s.groupBy("obs_id").agg(F.first("station_id").alias("station_id"))
+
+
+@query("model_choice", "SELECT station_id, CASE WHEN lat BETWEEN 20 AND 75 AND lon BETWEEN -170 AND -50 THEN CASE WHEN lat >= 50 THEN 'hrrrak' ELSE 'hrrr' END END AS model FROM station")
+def model_choice(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "station").select("station_id", acquire.model_for(F.col("lat"), F.col("lon")).alias("model"))
+
+
+@query("items_of_year", "SELECT o_orderkey AS id, year(o_orderdate)::INT AS year, '1998' AS wanted FROM orders WHERE year(o_orderdate) = 1998 UNION ALL SELECT o_orderkey, year(o_orderdate)::INT, '2030' FROM orders")
+def items_of_year(spark: SparkSession, d: str) -> DataFrame:
+    i = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year"))
+    return acquire.of_year_or_all(i, 1998).withColumn("wanted", F.lit("1998")).unionByName(acquire.of_year_or_all(i, 2030).withColumn("wanted", F.lit("2030")))
+
+
+DEMS = "SELECT p_partkey AS id, concat(CASE p_size % 3 WHEN 0 THEN 'CUDEM tiles ' WHEN 1 THEN 'gmrt v4 ' ELSE 'other ' END, p_name) AS source FROM {part}"
+
+
+@query("dem_sources", f"SELECT id, CASE WHEN lower(source) LIKE 'cudem%' THEN 'cudem' WHEN lower(source) LIKE 'gmrt%' THEN 'gmrt' END AS dem FROM ({DEMS.format(part='part')})")
+def dem_sources(spark: SparkSession, d: str) -> DataFrame:
+    return frame(spark, d, DEMS).select("id", acquire.dem_source(F.col("source")).alias("dem"))
+
+
+@query("scene_times", "SELECT DISTINCT aoi AS area, CAST(time AS DATE) AS day, time AS ts FROM overpass WHERE sensor IN ('eco', 'lst') AND aoi IS NOT NULL", day="day", instants=("ts",))
+def scene_times(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "overpass").where("aoi IS NOT NULL").withColumnsRenamed({"aoi": "area"}).withColumn("ts", F.col("time").cast("timestamp"))
+    return acquire.scene_times(o.where("sensor = 'eco'"), o.where("sensor = 'lst'"))
+
+
+@query("coast_offsets", "SELECT cr AS row, cc AS col, (cc - 9) * 100.0::DOUBLE AS east_m, (11 - cr) * 100.0::DOUBLE AS north_m FROM static", ("static",))
+def coast_offsets(spark: SparkSession, d: str) -> DataFrame:
+    e = frame(spark, d, "static").select("row", "col", F.lit(11).alias("coast_row"), F.lit(9).alias("coast_col"))
+    return acquire.coast_offsets(e, 100.0).select("row", "col", "east_m", "north_m")
+
+
+@query("coverage_attrs", "SELECT event_type, concat('{\"days\":', count(DISTINCT CAST(ts AS DATE)), ',\"n\":', count(*), '}') AS attrs FROM events GROUP BY 1")
+def coverage_attrs(spark: SparkSession, d: str) -> DataFrame:
+    r = table(spark, d, "events").groupBy("event_type").agg(F.countDistinct(F.to_date("ts")).alias("days"), F.count("*").alias("n"))
+    return acquire.attributes(r, key="event_type")
+
+
+@query("fill_value_clash", "SELECT * FROM (SELECT 'l_quantity' AS channel, sum((l_quantity = 25)::INT)::BIGINT AS n FROM lineitem UNION ALL SELECT 'l_tax', sum((l_tax = -9999)::INT)::BIGINT FROM lineitem) WHERE n > 0")
+def fill_value_clash(spark: SparkSession, d: str) -> DataFrame:
+    return acquire.fill_value_clash(table(spark, d, "lineitem"), {"l_quantity": 25.0, "l_tax": -9999.0})
+
+
+@query("time_axis", "SELECT DISTINCT ts FROM (SELECT date_trunc('hour', time) AS ts FROM obs UNION ALL SELECT date_trunc('hour', time) FROM overpass) WHERE ts IS NOT NULL", instants=("ts",))
+def time_axis(spark: SparkSession, d: str) -> DataFrame:
+    hour = lambda n: table(spark, d, n).select(F.date_trunc("hour", F.col("time").cast("timestamp")).alias("ts"))
+    return acquire.time_axis(hour("obs"), hour("overpass"))
+
+
+SNAPSHOTS = f"SELECT 'hrrr' AS source, l_shipdate AS ts0, {CELL.format('l_partkey')}, CASE l_linenumber % 2 WHEN 0 THEN 'airtemp' ELSE 'swrad' END AS var, max(l_tax) * 100 AS value FROM {{lineitem}} WHERE l_suppkey % 3 = 0 GROUP BY 2, 3, 4, 5"
+
+
+@query("met_at_overpass", f"""+ b AS (SELECT DISTINCT ts0, cr, cc FROM scene), m AS ({SNAPSHOTS.format(lineitem='lineitem')})
+  SELECT ts0 AS ts, cr AS row, cc AS col, max(value) FILTER (WHERE var = 'airtemp') AS airtemp, max(value) FILTER (WHERE var = 'swrad') AS swrad FROM b LEFT JOIN m USING (ts0, cr, cc) GROUP BY 1, 2, 3""", ("scene",), instants=("ts",))
+def met_at_overpass(spark: SparkSession, d: str) -> DataFrame:
+    b = frame(spark, d, "scene").select("ts", "row", "col").distinct()
+    return acquire.at_scene_time(b, frame(spark, d, SNAPSHOTS), variables=["airtemp", "swrad"])
+
+
+@query("tide_at_overpass", """+ o AS (SELECT DISTINCT overpass_id, trim(station_id) AS s, epoch_us(time) AS t0 FROM overpass), r AS (SELECT station_id AS s, epoch_us(time) AS t, min(value) AS v FROM obs WHERE isfinite(value) GROUP BY 1, 2),
+  lo AS (SELECT o.*, r.t AS t1, r.v AS v1 FROM o ASOF LEFT JOIN r ON o.s = r.s AND o.t0 >= r.t), hi AS (SELECT lo.*, r.t AS t2, r.v AS v2 FROM lo ASOF LEFT JOIN r ON lo.s = r.s AND lo.t0 <= r.t)
+  SELECT overpass_id::VARCHAR AS overpass_id, s AS station_id, round(CASE WHEN t1 = t2 THEN v1 ELSE v1 + (t0 - t1) / (t2 - t1) * (v2 - v1) END, 6) AS value FROM hi""".removeprefix("+ ").replace("o AS (SELECT", "WITH o AS (SELECT", 1))
+def tide_at_overpass(spark: SparkSession, d: str) -> DataFrame:
+    q = table(spark, d, "overpass").select("overpass_id", F.trim("station_id").alias("station_id"), "time").distinct()
+    v = match.value_between(q, table(spark, d, "obs"), key="station_id", target_id="overpass_id", at="time", time="time", value="value")
+    return v.withColumn("value", rnd("value", 6))
