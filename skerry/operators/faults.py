@@ -303,7 +303,7 @@ def implausible_readings(readings: DataFrame, rule: FaultRule = FaultRule(), *,
     order = ["k", "block", "t", "i"]
     blocks = r.select(*order, "v").repartition("k", "block").sortWithinPartitions(*order)
     summary = cut(blocks.mapInArrow(_summarise(rule), SUMMARY))
-    context = cut(summary.repartition("k").sortWithinPartitions("k", "block").mapInArrow(_join_up(rule), CONTEXT))
+    context = cut(summary.drop("steps", "counts").repartition("k").sortWithinPartitions("k", "block").mapInArrow(_join_up(rule), CONTEXT))
     steps = summary.select("k", F.explode(F.arrays_zip("steps", "counts")).alias("h")).select("k", F.col("h.steps").alias("d"), F.col("h.counts").alias("n"))
     steps = steps.unionByName(context.where(F.col("cross").isNotNull()).select("k", F.col("cross").alias("d"), F.lit(1).cast("long").alias("n")))
     context = context.join(median_step(steps, rule.least_step), "k", "left")
