@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 from functools import lru_cache
-from zoneinfo import ZoneInfo
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 import numpy as np
 
@@ -51,6 +51,16 @@ def instants(zone: str, wall_s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return u1, ok1, u2, ok2 & (u1 != u2)
 
 
+@lru_cache(maxsize=1024)
+def known(zone: str) -> bool:
+    """Whether there is such a zone."""
+    try:
+        ZoneInfo(zone)
+    except (ZoneInfoNotFoundError, ValueError, OSError):
+        return False
+    return True
+
+
 @lru_cache(maxsize=1024)
 def abbreviations(zone: str) -> dict[str, tuple[int, ...]]:
     """Offsets that each of the zone's abbreviations stands for, as used since 1970."""

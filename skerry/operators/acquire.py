@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skerry.functions import times
 from skerry.functions import triangles as T
 from skerry.functions.geo import boxes_overlap
+from skerry.operators.filters import beside
 
 
 def find_stations(stations: DataFrame, spans: DataFrame, *, box: tuple[float, float, float, float], start: str, end: str, pad: float = 0.0) -> DataFrame:
@@ -122,9 +123,8 @@ def model_for(lat: Column, lon: Column) -> Column:
 
 def of_year_or_all(items: DataFrame, year: int) -> DataFrame:
     """Items of the year; if there is none, all of them."""
-    any_ = items.agg(F.coalesce(F.max(F.col("year") == year), F.lit(False)).alias("any")).withColumn("one", F.lit(1))
-    j = items.withColumn("one", F.lit(1)).join(F.broadcast(any_), "one")  # one row
-    return j.where((F.col("year") == year) | ~F.col("any")).drop("one", "any")
+    found = items.agg(F.coalesce(F.max(F.col("year") == year), F.lit(False)).alias("_found"))
+    return beside(items, found).where((F.col("year") == year) | ~F.col("_found")).drop("_found")
 
 
 def dem_source(text: Column) -> Column:

@@ -29,9 +29,9 @@ def season_shows(days: DataFrame, day: str = "day") -> DataFrame:
 
 
 def beside(df: DataFrame, single: DataFrame) -> DataFrame:
-    """``df`` with the columns of a frame of one row (the result of an aggregate without keys), which goes to every task."""
-    one = F.lit(1).alias("_one")
-    return df.select("*", one).join(F.broadcast(single.select("*", one)), "_one").drop("_one")
+    """``df`` with the columns of a frame of one row (the result of an aggregate without keys), by a scalar subquery."""
+    one = single.select(F.struct(*single.columns).alias("_s")).scalar()
+    return df.select("*", one.alias("_s")).select(*df.columns, *(F.col("_s")[c].alias(c) for c in single.columns))
 
 
 def sigma_fit(values: DataFrame, *, keys: list[str], value: str, day: str, harmonic: bool = False) -> DataFrame:

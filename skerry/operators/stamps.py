@@ -73,7 +73,7 @@ def _zone_offsets(text: pa.Array, feed_zones: np.ndarray) -> tuple[np.ndarray, l
         elif up in ("Z", "UTC", "GMT"):
             ok[0, own] = True
         else:
-            for tz in set(feed_zones[own]):
+            for tz in filter(zones.known, set(feed_zones[own])):
                 here = own & (feed_zones == tz)
                 for j, off in enumerate(zones.abbreviations(tz).get(up, ())[:2]):
                     slots[j][here], ok[j, here] = off, True
@@ -97,7 +97,7 @@ def readings_of(stamps: pa.Array, feed_zones: np.ndarray, orders: np.ndarray) ->
         code[rows[keep], slot[keep]] = c
 
     def put_wall(rows: np.ndarray, c: int, wall: np.ndarray, frac: np.ndarray) -> None:
-        for tz in set(feed_zones[rows]):
+        for tz in filter(zones.known, set(feed_zones[rows])):
             own = feed_zones[rows] == tz
             u1, ok1, u2, ok2 = zones.instants(tz, wall[own])
             for u, ok in ((u1, ok1), (u2, ok2)):
@@ -297,7 +297,7 @@ def normalise_stamps(rows: DataFrame, sources: DataFrame, rule: StampRule = Stam
     ``readings`` counts the instants that the stamp may denote, given what its source declares (zone; order of day and
     month): 0 for no valid stamp (also NULL; time_us and format are NULL), 1 for an unambiguous one; of several, ``time_us`` is
     the one on the cheapest path over the source's rows in order of their ids. A source not declared, or with NULL, is in
-    UTC and of unknown order. Blanks around a stamp don't count; digits finer than microseconds are cut. Rows with a NULL id
+    UTC and of unknown order; in a zone that doesn't exist a wall time denotes nothing. Blanks around a stamp don't count; digits finer than microseconds are cut. Rows with a NULL id
     are dropped; a row sent again counts once. ``sources`` has one row a source (of several the least zone and order are taken).
     """
     feeds = sources.select(F.col(source).cast("string").alias("k"), F.col(zone).alias("tz"), F.col(order).alias("ord")).where(F.col("k").isNotNull()).groupBy("k").agg(F.min("tz").alias("tz"), F.min("ord").alias("ord"))

@@ -88,6 +88,8 @@ S = 1_000_000
         ("01-Feb-2024 00:00:00", None, None, [1706745600 * S]),
         ("Feb 1, 2024 12:00 AM", None, None, [1706745600 * S]),
         ("2024-05", None, None, []),
+        ("2024-05-01 10:00:00", "Mars/Base", None, []),
+        ("2024-05-01 10:00:00Z", "Mars/Base", None, [1714557600 * S]),
         ("10:30:00", None, None, []),
         ("", None, None, []),
         (None, None, None, []),
