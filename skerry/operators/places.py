@@ -68,7 +68,7 @@ def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     hi = F.when(polar, F.col("n") - 1).otherwise(F.floor((turn + dlon / 360) * F.col("n"))).cast("long")
     hi = F.least(hi, lo + F.col("n") - 1)
     looks = looks.withColumn("c", F.explode(F.sequence(lo, hi))).select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), cell(F.col("band"), F.pmod("c", "n")).alias("cell"))
-    near = (F.col("id") < F.col("id2")) & (F.abs(F.col("lat") - F.col("lat2")) <= reach)
+    near = (F.abs(F.col("lat") - F.col("lat2")) <= reach) & (F.col("id") < F.col("id2"))
     pairs = home.join(looks, (home["cell"] == looks["cell"]) & near)
     d = great_circle_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
     return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b"), d.alias("metres")).where(F.col("metres") <= radius_m)
