@@ -70,7 +70,7 @@ def sigma_fit(values: DataFrame, *, keys: list[str], value: str, day: str, harmo
     return g.withColumn("sigma", F.sqrt(F.col("_ssr") / F.greatest(F.col("n") - k, F.lit(1)))).drop("_ssr")
 
 
-def cutoff(fit: Column | None, n_sigma: float, day: Column, harmonic: bool) -> Column:
+def cutoff(n_sigma: float, day: Column, harmonic: bool) -> Column:
     """Fitted value less ``n_sigma`` sigma, from columns b0.. and sigma."""
     x = design(day, harmonic)
     return sum((c * F.col(f"b{i}") for i, c in enumerate(x[1:], 1)), x[0] * F.col("b0")) - n_sigma * F.col("sigma")
@@ -96,7 +96,7 @@ def sigma_filter(df: DataFrame, fit: DataFrame, *, keys: list[str], n_sigma: flo
     """Drop pixels below the cutoff of their group's baseline fit; groups without a fit drop none."""
     betas = [c for c in fit.columns if c in ("b0", "b1", "b2", "sigma")]
     j = df.join(fit.select(*keys, *betas), keys, "left") if keys else beside(df, fit.select(*betas))
-    return fold_drop(j, F.col(value) < cutoff(None, n_sigma, F.col(day), harmonic), "sigma_flag", value=value).drop(*betas)
+    return fold_drop(j, F.col(value) < cutoff(n_sigma, F.col(day), harmonic), "sigma_flag", value=value).drop(*betas)
 
 
 def cover_gate(df: DataFrame, *, pct: str = "cloud_pct", scene_max: float | None = 30.0, pixel_max: float | None = 80.0, water: str | None = "water", keys: tuple[str, ...] = ("day",), value: str = "sst") -> DataFrame:
