@@ -191,11 +191,11 @@ def outside_ellipsoids(x: np.ndarray, reach: float, rounds: int) -> np.ndarray:
     a reading's companions in an excursion nor one step of the level hide it. The semi-axes are the universal threshold
     sqrt(2 ln n) times a robust scale (of the readings not yet flagged, in rounds until none is added); that of the
     departure is at most ``reach``, so nothing departing further is ever inside. Readings with fewer than five neighbours on a
-    side count as outside: the caller's exact check decides on them.
+    side, and all readings of a series too short for a scale (under 18), count as outside: the caller's exact check decides on them.
     """
     n = x.size
     out = np.ones(n, bool)
-    if n < 12:
+    if n < 18:
         return out
     near = np.empty((n - 10, 10))
     for j, k in enumerate((0, 1, 2, 3, 4, 6, 7, 8, 9, 10)):

@@ -106,6 +106,32 @@ def test_no_reading_beyond_reach_is_inside_an_ellipsoid():
                     assert flags[a : a + k].all()
 
 
+def spiky(rnd, n):
+    x = np.round(np.cumsum(rnd.choice([-0.1, 0.0, 0.1, 0.2], n)) + 10, 2)
+    for a in rnd.integers(0, n, 1 + n // 8):
+        x[a : a + rnd.integers(1, 4)] += rnd.choice([8, -9, 30])
+    return x.tolist()
+
+
+def test_spikes_of_short_series_and_blocks(spark):
+    rnd, data = np.random.default_rng(6), []
+
+    def add(station, *blocks):
+        for b, n in enumerate(blocks):
+            data.extend([(len(data) + j, station, T0 + timedelta(days=30 * b, minutes=j), x, 1, "", 1, 1) for j, x in enumerate(spiky(rnd, n))])
+
+    for k in range(20):
+        for n in range(8, 21):
+            add(f"whole {n} {k}", n)
+        for n in range(1, 12):
+            add(f"parts {n} {k}", n, 30, n, 30, n)
+    got = implausible_readings(spark.createDataFrame(data, SCHEMA)).where("spike").collect()
+    spike = brute_faults(data)[0]
+    assert {r["obs_id"] for r in got} == spike
+    by = {i: s.rsplit(" ", 1)[0] for i, s, *_ in data}
+    assert {by[i] for i in spike} >= {f"whole {n}" for n in range(12, 18)}
+
+
 def test_median_step_is_exact(spark):
     rnd = random.Random(5)
     data = [(k, round(rnd.expovariate(3), rnd.choice([0, 2, 6])), rnd.randint(1, 5)) for k in "abc" for _ in range(200)] + [("z", 0.0, 4), ("one", 2.5, 1)]
