@@ -143,8 +143,55 @@ class Automaton:
         return out
 
 
+def _segments(text: str) -> list[str]:
+    """The text in the smallest parts that normalise independently: nothing composes or is reordered across their ends."""
+    out: list[str] = []
+    for c in text:
+        own = unicodedata.normalize("NFKD", c)
+        if out and (unicodedata.combining(own[0]) or not (c.isascii() and out[-1].isascii()) and unicodedata.normalize("NFKC", out[-1] + c) != unicodedata.normalize("NFKC", out[-1]) + unicodedata.normalize("NFKC", c)):
+            out[-1] += c
+        else:
+            out.append(c)
+    return out
+
+
+def word_ranges(text: str) -> list[tuple[int, int]]:
+    """Where the words of :func:`words_of` are in the text itself: [from, to). A character that normalises to several words
+    (``½``) is in the range of each."""
+    if text.isascii():
+        return [m.span() for m in ASCII_WORDS.finditer(text.lower())]
+    folded, where, at = [], [], 0
+    for part in _segments(text):
+        f = FORMAT.sub("", unicodedata.normalize("NFKC", part).casefold())
+        folded.append(f)
+        where += [(at, at + len(part))] * len(f)
+        at += len(part)
+    return [(where[m.start()][0], where[m.end() - 1][1]) for m in WORDS.finditer("".join(folded))]
+
+
+def _cut_words(text: str, gone: bytes) -> tuple[str, int]:
+    """The text without the marked ones of its words, and how many went: each stretch of them up to the next word that stays.
+    A character shared with a word that stays is kept."""
+    at = word_ranges(text)
+    out, done, n, i = [], 0, 0, 0
+    while i < len(at):
+        j = i
+        while j < len(at) and gone[j]:
+            j += 1
+        if j > i:
+            a = max(at[i][0], at[i - 1][1] if i else 0)
+            b = at[j][0] if j < len(at) else at[-1][1]
+            if a < b:
+                out.append(text[done:a])
+                done = b
+                n += sum(r[0] < b and r[1] > a for r in at[i:j])
+        i = max(j, i + 1)
+    return "".join([*out, text[done:]]), n
+
+
 def scrub(text: str, automaton: Automaton, least: int, share: float) -> tuple[str, int]:
-    """The text without the leaked stretches, and how many words went. Whole blank-delimited pieces go, with the blanks after."""
+    """The text without the leaked stretches, and how many words went. Blank-delimited pieces of nothing else go whole, with the
+    blanks after; within other pieces only the words of a stretch go, with what divides them from the next word."""
     parts = regex.split(r"(\s+)", text)
     own = [words_of(p) for p in parts[::2]]
     flat = [w for x in own for w in x]
@@ -155,10 +202,13 @@ def scrub(text: str, automaton: Automaton, least: int, share: float) -> tuple[st
         return text, 0
     out, at, n = [], 0, 0
     for k, x in enumerate(own):
-        if x and all(gone[at : at + len(x)]):
+        here = gone[at : at + len(x)]
+        if x and all(here):
             n += len(x)
         elif x or out or parts[2 * k]:
-            out += parts[2 * k : 2 * k + 2]
+            left, m = _cut_words(parts[2 * k], here) if any(here) else (parts[2 * k], 0)
+            out += [left, *parts[2 * k + 1 : 2 * k + 2]]
+            n += m
         at += len(x)
     return "".join(out), n
 

@@ -2,7 +2,7 @@
 
 import random
 
-from skerry.llm.leaks import Automaton, find_leaks, remove_leaks, scrub, words_of
+from skerry.llm.leaks import Automaton, find_leaks, remove_leaks, scrub, word_ranges, words_of
 
 
 def test_words():
@@ -63,3 +63,28 @@ def test_scrub_keeps_the_rest():
     got, n = scrub(f"Keep  this.\n{PASSAGE} And\tthat; a short but whole item of nine words end", a, 13, 0.9)
     assert got == "Keep  this.\nAnd\tthat; end" and n == 22
     assert scrub("one two three four five six", a, 13, 0.9) == ("one two three four five six", 0)
+
+
+CHINESE = "海水温度、盐度、流速、风向、气压、湿度、云量、潮位、波高、能见度、降水、辐射、浊度、叶绿素"
+
+
+def test_scrub_within_pieces():
+    assert len(words_of(CHINESE)) == 14
+    a = Automaton([(1, words_of(PASSAGE)), (2, words_of(CHINESE))], 8)
+    assert scrub(f"今天的报告。{CHINESE}。明天再报。", a, 13, 0.9) == ("今天的报告。明天再报。", 14)
+    for by in ",/_":
+        assert scrub(f"a keep{by}{PASSAGE.replace(' ', by)}{by}stay b", a, 13, 0.9) == (f"a keep{by}stay b", 14)
+    assert scrub(f"Ärger,{PASSAGE.replace('five', 'ｆｉ­ｖｅ')},Maß x", a, 13, 0.9) == ("Ärger, Maß x", 14)
+    half = Automaton([(1, words_of(f"{PASSAGE} 1"))], 8)
+    assert scrub(f"x,{PASSAGE},½", half, 13, 0.9) == ("x, ½", 14)
+
+
+def test_word_ranges_are_those_words():
+    rnd = random.Random(2)
+    chars = "ab1 ,_éßİﬁ½가각ㄱㅏᄀ\u1161\u11a8ｶﾞが\u3099\u0301\u0315\u0323\u00ad\u200bΔσς海、。ﷺ②"
+    for _ in range(3000):
+        t = "".join(rnd.choice(chars) for _ in range(rnd.randrange(14)))
+        got = word_ranges(t)
+        assert len(got) == len(words_of(t))
+        for (p, q), w in zip(got, words_of(t), strict=True):
+            assert w in words_of(t[p:q]) and 0 <= p < q <= len(t)
