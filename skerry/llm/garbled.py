@@ -37,8 +37,12 @@ WRONG_WIDE = ("gbk", "cp932", "big5", "euc_kr")
 TRUE = ("utf-8", "cp1252", "cp1250", "cp1251", "cp1253", "cp437", "cp850", "cp852", "cp866", "koi8-r", "mac_roman", "mac_latin2", "mac_cyrillic", "iso8859-2", "iso8859-5", "iso8859-7", "gbk", "cp932", "euc_jp", "big5", "euc_kr")
 #: characters whose UTF-8 sequences are looked for, as ranges of code points
 REPERTOIRE = ((0x80, 0x17F), (0x1A0, 0x1A1), (0x1AF, 0x1B0), (0x218, 0x21B), (0x386, 0x3CE), (0x400, 0x45F), (0x490, 0x491), (0x1EA0, 0x1EF9), (0x2010, 0x2026), (0x2030, 0x2033), (0x2039, 0x203A), (0x20AC, 0x20AC), (0x2116, 0x2122), (0x2190, 0x2193), (0x2212, 0x2212), (0x221A, 0x221E), (0x2248, 0x2248), (0x2260, 0x2265), (0x3000, 0x300F), (0x3041, 0x30FF), (0xFF01, 0xFF5E), (0xFE0F, 0xFE0F), (0xFFFD, 0xFFFD))
-#: leading bytes of longer sequences, taken with any continuation: East Asian characters and symbols beyond the basic plane
-LEADS = {**dict.fromkeys(range(0xE4, 0xEA), 3), 0xF0: 4}
+#: two-byte characters that by themselves count only within a word: marks, and scripts that come in runs
+INNER = ((0x180, 0x36F), (0x460, 0x7FF))
+#: characters that are likelier than others where a stretch can be read in two ways
+COMMON = ((0x300, 0x30C), (0x327, 0x328), (0x5D0, 0x5EA), (0x620, 0x652), (0x900, 0x97F), (0xE01, 0xE5B), (0x2000, 0x206F), (0x2500, 0x27BF), (0x3000, 0x30FF), (0x3400, 0x9FFF), (0xAC00, 0xD7A3), (0xFEFF, 0xFEFF), (0x10000, 0x10FFFF))
+#: leading bytes of longer sequences, taken with any continuation that gives an assigned character
+LEADS = {**dict.fromkeys(range(0xE0, 0xF0), 3), 0xF0: 4}
 
 ACCENTED = regex.compile(r"[À-ÖØ-öø-ÿ]{5,}|(?:[¡-¿]*[À-ÿ][¡-ÿ]*){6,}")
 LOST = re.compile("�")
@@ -47,6 +51,8 @@ TOKEN = regex.compile(r"[^\s、。，！？；：「」]+")
 DIGITS = re.compile(r"[0-9]+")
 #: punctuation that follows a letter in correct text
 AFTER_LETTERS = "»«”“„’‘‚…—–•›‹"
+#: what else may follow a capital that is a unit or a word of its own
+AFTER_UNITS = AFTER_LETTERS + "\xa0°±·×²³®©™"
 EDGE = ".,;:!?()[]{}<>\"'|*_#`-/=+&"
 
 
@@ -86,6 +92,18 @@ def _letter(c: str) -> bool:
     return unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lm")
 
 
+def _assigned(c: str) -> bool:
+    return c > "\uffff" or unicodedata.category(c) not in ("Cn", "Co", "Cs")
+
+
+def _inner(c: str) -> bool:
+    return not any(lo <= ord(c) <= hi for lo, hi in REPERTOIRE) and any(lo <= ord(c) <= hi for lo, hi in INNER)
+
+
+def _rare(c: str) -> bool:
+    return not any(lo <= ord(c) <= hi for lo, hi in REPERTOIRE + COMMON)
+
+
 class Sequences:
     """The automaton of the sequences that UTF-8 text turns into."""
 
@@ -93,12 +111,14 @@ class Sequences:
         patterns: dict[str, set[tuple[str, int]]] = {}
         for wrong in WRONG:
             table = _table(wrong)
-            for lo, hi in REPERTOIRE:
+            for lo, hi in REPERTOIRE + INNER:
                 for code in range(lo, hi + 1):
+                    if not _assigned(chr(code)):
+                        continue
                     data = chr(code).encode()
                     patterns.setdefault("".join(table[b] for b in data), set()).add((wrong, len(data)))
             for lead, size in LEADS.items():
-                for second in range(0x90 if lead == 0xF0 else 0x80, 0xC0):
+                for second in range({0xE0: 0xA0, 0xF0: 0x90}.get(lead, 0x80), 0xA0 if lead == 0xED else 0xC0):
                     patterns.setdefault(table[lead] + table[second], set()).add((wrong, size))
         self.automaton = ahocorasick.Automaton()
         for p, what in patterns.items():
@@ -127,14 +147,14 @@ class Sequences:
                 while pos in own:
                     data = to_bytes(text[pos : pos + own[pos]], wrong)
                     got = decode(data, "utf-8") if data else None
-                    if got is None or len(got) != 1:
+                    if got is None or len(got) != 1 or not _assigned(got):
                         break
                     out.append(got)
                     pos += own[pos]
                 if out:
                     found.append((start, pos, "".join(out), len(out)))
                     done = pos
-        found.sort(key=lambda r: (r[0] - r[1], r[0]))
+        found.sort(key=lambda r: (r[0] - r[1], sum(map(_rare, r[2])), r[0]))
         taken: list[tuple[int, int, str, int]] = []
         for r in found:
             if all(r[1] <= t[0] or r[0] >= t[1] for t in taken):
@@ -160,10 +180,17 @@ def certain(text: str, run: tuple[int, int, str, int]) -> bool:
     letters = all(map(_letter, part))
     if letters and (len(set(map(_script, part))) > 1 or before.islower() and part[0].isupper()):
         return True
+    if n == 1 and len(part) > 2 and part[0].isalpha() and all(c in AFTER_LETTERS or c == "\xa0" for c in part[1:]):
+        return part[0] == "â" and not before.isalpha()  # a word before a blank or closing punctuation
+    shaky = n == 1 and (_rare(restored) or "\uac00" <= restored <= "\ud7a3")
+    if shaky and len(part) > 2 and part[0].islower() and part[:-1].isalpha() and part[-1] in AFTER_UNITS:
+        return False  # a unit
+    if n == 1 and not letters and _inner(restored):
+        return before.isalpha() and (before.islower() or not part[0].isalpha()) and part[0] not in AFTER_UNITS and part[1] not in AFTER_UNITS
     if n >= 2:
         return not letters or n > 2 and not (part.islower() or part.isupper())
     if letters:
-        return restored > "\uffff" or len(part) > 2 and not (part.islower() or part.istitle() or part.isupper())
+        return restored > "\uffff" or len(part) > 2 and not (part.islower() or part.istitle() or part.isupper()) and (not shaky or before.isalpha())
     if len(part) > 2:
         return True
     if part[1] in AFTER_LETTERS:  # a capital before closing punctuation, unless within a word

@@ -69,3 +69,18 @@ def test_corpus_counts(spark, rows):
 def test_keys():
     assert keys_of("a 12.5 °C, x — 30 y") == {"°C", "x — 9"}
     assert keys_of("plain text") == set()
+
+
+@pytest.mark.parametrize("read", ["latin-1", "cp1252", "cp437", "mac_roman", "cp850"])
+@pytest.mark.parametrize("text", ["\ufeffHello", "word\u200bword", "a\u202fb", "cafe\u0301", "• first", "✔ done", "【注】", "한국어", "قياس", "מים", "ไทย", "हिन्दी"])
+def test_marks_and_other_scripts_are_evident(text, read):
+    garbled = text.encode().decode(read, "ignore")
+    if len(garbled.encode(read)) != len(text.encode()):
+        pytest.skip("not readable in this encoding")
+    assert evident(f"before {garbled} after")
+    assert restore_text(f"before {garbled} after", {}) == f"before {text} after"
+
+
+@pytest.mark.parametrize("text", ["l’été\xa0» et café\xa0— fin", "дом\xa0— море\xa0— «где…» окно…»", "в\xa0«Правде» С\xa0другой Я\xa0был", "9 кН·м, 5 мМ±1, 5 кВА, Tagen\xa0öffnet, la\xa0écluse", "Í\xa0dag, AQUÍ…", "Ші, Чёрный, Шість", "قياس 5", "מים", "ไทย हिन्दी 한국어"])
+def test_correct_typography_is_no_case(text):
+    assert not evident(text)
