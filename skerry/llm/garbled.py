@@ -224,12 +224,14 @@ def keys_of(text: str) -> set[str]:
     return out
 
 
-@lru_cache(maxsize=1 << 16)
 def restorations(key: str) -> tuple[tuple[str, str, str], ...]:
-    """(restored key, wrong, true encoding) of all pairs of encodings that the key can have gone through."""
+    """(restored key, wrong, true encoding) of all pairs of encodings that the key can have gone through. Long ones aren't kept."""
+    return _restorations(key) if len(key) <= 200 else _restorations.__wrapped__(key)
+
+
+@lru_cache(maxsize=1 << 16)
+def _restorations(key: str) -> tuple[tuple[str, str, str], ...]:
     out: dict[str, tuple[str, str, str]] = {}
-    if len(key) > 200:
-        return ()
     for wrong in WRONG + WRONG_WIDE:
         data = to_bytes(key, wrong)
         if data is None or data.isascii():
@@ -257,11 +259,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = [(k, n, *r) for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for r in restorations(k)]
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+
+    def batch(rows: list[tuple[str, int, str, str, str]]) -> pa.RecordBatch:
         cols = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["key", "n", "restored", "wrong", "true"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["key", "n", "restored", "wrong", "true"])
+
+    for b in batches:
+        rows, size = [], 0
+        for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for r in restorations(k):
+                rows.append((k, n, *r))
+                size += len(k)
+                if size > 10_000_000:
+                    yield batch(rows)
+                    rows, size = [], 0
+        yield batch(rows)
 
 
 def garbled_keys(docs: DataFrame, *, text: str = "text", times: float = 4, least: int = 5) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from skerry.llm.garbled import evident, find_garbled, garbled_keys, keys_of, restore_garbled, restore_text
+from skerry.llm.garbled import evident, find_garbled, garbled_keys, keys_of, restorations, restore_garbled, restore_text
 
 CORRECT = [
     "CAÑON ½ DAY, £15; PÂTISSERIE", "À Ça « où » l’été — “fine” … 12 °C ±0.3", "São João, MANHÃ” e AMANHÃ…", "Größere „Lücken“ über Straße", "zażółć gęślą jaźń", "Tại ngoái độ vịnh ấm",
@@ -84,3 +84,8 @@ def test_marks_and_other_scripts_are_evident(text, read):
 @pytest.mark.parametrize("text", ["l’été\xa0» et café\xa0— fin", "дом\xa0— море\xa0— «где…» окно…»", "в\xa0«Правде» С\xa0другой Я\xa0был", "9 кН·м, 5 мМ±1, 5 кВА, Tagen\xa0öffnet, la\xa0écluse", "Í\xa0dag, AQUÍ…", "Ші, Чёрный, Шість", "قياس 5", "מים", "ไทย हिन्दी 한국어"])
 def test_correct_typography_is_no_case(text):
     assert not evident(text)
+
+
+def test_long_tokens_are_tried():
+    good = "marée/" * 60
+    assert good in {r[0] for r in restorations(wrong(good, "cp1252", "cp437"))}
