@@ -2,7 +2,7 @@
 
 import pytest
 
-from skerry.llm.garbled import evident, find_garbled, garbled_keys, keys_of, restorations, restore_garbled, restore_text
+from skerry.llm.garbled import Usual, corpus_counts, evident, find_garbled, forms_of, garbled_keys, keys_and_wide, keys_of, punctuation_pair, restore_garbled, restore_text
 
 CORRECT = [
     "CAÑON ½ DAY, £15; PÂTISSERIE", "À Ça « où » l’été — “fine” … 12 °C ±0.3", "São João, MANHÃ” e AMANHÃ…", "Größere „Lücken“ über Straße", "zażółć gęślą jaźń", "Tại ngoái độ vịnh ấm",
@@ -57,7 +57,7 @@ def test_corpus_counts(spark, rows):
     want = [(i,) for i, _ in bad]
     assert rows(find_garbled(df).select("doc_id")) == want
     assert rows(find_garbled(df, small=1).select("doc_id")) == want
-    got = {r["key"]: (r["restored"], r["wrong"]) for r in garbled_keys(df).collect()}
+    got = {r["key"]: (r["restored"], r["wrong"]) for r in garbled_keys(corpus_counts(df)[0]).where("strong").collect()}
     assert got["marΘe"][0] == "marée"
     for small in (200_000, 7):
         back = {r["doc_id"]: (r["restored"], r["complete"]) for r in restore_garbled(df, small=small).select("doc_id", "restored", "complete").collect()}
@@ -67,7 +67,9 @@ def test_corpus_counts(spark, rows):
 
 
 def test_keys():
-    assert keys_of("a 12.5 °C, x — 30 y") == {"°C", "x — 9"}
+    assert keys_of("a 12.5 °C, x — 30 y") == {"°C", "x — 9", "—"}
+    assert keys_of("— a\n  — ü") == {" — a", "a — ü", "— ü ", "—", "ü"}
+    assert keys_and_wide("水温は平年より高い。été") == ({"été"}, {"水温は平年より高い"})
     assert keys_of("plain text") == set()
 
 
@@ -87,5 +89,57 @@ def test_correct_typography_is_no_case(text):
 
 
 def test_long_tokens_are_tried():
-    good = "marée/" * 60
-    assert good in {r[0] for r in restorations(wrong(good, "cp1252", "cp437"))}
+    good = "marée/" * 60 + "x"
+    assert wrong(good, "cp1252", "cp437") in forms_of(good)
+
+
+@pytest.mark.parametrize("read,true", [("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp1252", "mac_roman")])
+def test_punctuation_of_plain_english(read, true):
+    good = "It’s “fine” — the crew’s words… at 12 °C."
+    bad = wrong(good, true, read)
+    assert bad != good and punctuation_pair(bad) is not None and restore_text(bad, {}) == good
+
+
+@pytest.mark.parametrize("text", ["El país y la estación, ahí; días fríos", "Il est là, voilà déjà où", "maíz, país, raíz — fin", "Fähre ù the", "ñ", "“fine” it’s", "ông thành gö"])
+def test_accents_are_no_punctuation(text):
+    assert punctuation_pair(text) is None
+
+
+ZH = ["观测站的水温比去年同期略高", "海面上的风速逐渐减小", "仪器故障导致数据缺失", "卫星图像显示海岸附近有藻类", "渔民报告说潮水来得更早", "研究人员检查了所有的记录", "这个季节的温度变化很大", "浮标每小时发送一次数据"]
+JA = ["観測所の水温は去年より少し高い", "海上の風は次第に弱くなった", "機器の故障でデータが失われた", "衛星の画像に海岸の藻が見える", "漁師は潮が早く来たと報告した", "研究者はすべての記録を調べた", "この季節の温度は大きく変わる", "ブイは毎時データを送っている"]
+
+
+def one_sentence(lines, k):
+    """A sentence that occurs once: halves of two lines."""
+    a, b = lines[k % 8], lines[(k * 3 + 1) % 8]
+    return a[: len(a) // 2] + b[len(b) // 2 :]
+
+
+@pytest.mark.parametrize("lines,true,read", [(ZH, "gbk", "big5"), (ZH, "utf-8", "gbk"), (JA, "euc_jp", "gbk"), (JA, "euc_jp", "big5"), (JA, "cp932", "gbk"), (JA, "euc_jp", "euc_kr"), (JA, "utf-8", "cp932"), (ZH, "gbk", "euc_kr")])
+def test_a_sentence_between_east_asian_encodings(lines, true, read):
+    counts = {}
+    for t in ZH + JA:
+        for c in t:
+            counts[c] = counts.get(c, 0) + 20
+    usual, tried = Usual(counts), 0
+    for k in range(8):
+        good = one_sentence(lines, k)
+        try:
+            bad = good.encode(true).decode(read)
+        except UnicodeError:
+            continue
+        tried += 1
+        assert usual.pair(bad) is not None and restore_text(f"{bad}。{good}", {}, usual) == f"{good}。{good}"
+        assert usual.pair(good) is None
+    if not tried:
+        pytest.skip("not readable in this encoding")
+
+
+def test_a_source_with_a_third_of_all_rows_read_wrongly(spark, rows):
+    words = ["für", "größer", "Küste", "Nähe", "während", "schön", "Möwe", "Wärme", "Böen", "Übergang"]
+    good = [" ".join(words[(i + j) % 10] for j in range(5)) for i in range(60)]
+    docs = [(i, wrong(t, "cp1252", "cp437") if i % 3 == 0 else t) for i, t in enumerate(good)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(find_garbled(df).select("doc_id")) == [(i,) for i in range(0, 60, 3)]
+    assert rows(find_garbled(df, small=1).select("doc_id")) == [(i,) for i in range(0, 60, 3)]
+    assert rows(restore_garbled(df).select("doc_id", "restored")) == [(i, good[i]) for i in range(0, 60, 3)]
