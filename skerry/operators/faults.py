@@ -1,6 +1,7 @@
 """Implausible readings: spikes by phase-space thresholding, stuck values by zero-difference runs, bounds.
 
-A series is worked on in blocks of (source, time range), so a source of any size is spread over tasks:
+A series is worked on in blocks of (source, time range), as long as hold about ``block_rows`` readings of that source, so a source
+of any size and density is spread over tasks:
 
 1. each block is summed up: its first and last readings, its runs of equal values at the edges and inside, and a histogram
    of its absolute steps;
@@ -21,10 +22,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skerry.batches import floats, list_array, whole_groups
-from skerry.operators.regular import DAY_US, finite
+from skerry.operators.regular import finite
 from skerry.runtime import cut
 
 EDGE = 6  # readings that a block must know of each neighbour: an excursion has up to 3, its levels 3 each
+FEW = 200_000  # sources, counted, whose block lengths are broadcast
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,9 @@ class FaultRule:
 
     low, high: bounds of possible values. max_len: readings in an excursion. flank: readings whose median is a level.
     factor: times the source's usual step. least_step: the usual step is at least this. stuck_len, stuck_times: a stuck run
-    has at least stuck_len readings and stuck_times the source's longest run shorter than stuck_len.
+    has at least stuck_len readings and stuck_times the source's longest run shorter than stuck_len. tolerance: a reading
+    must exceed a limit by more than this; it stands for the rounding of doubles, so that a departure of exactly ten steps in
+    decimal figures is none. block_rows: readings in a block, on average over the source.
     """
 
     low: float = -5.0
@@ -42,7 +46,8 @@ class FaultRule:
     least_step: float = 0.001
     stuck_len: int = 15
     stuck_times: float = 3.0
-    block_days: int = 30
+    tolerance: float = 1e-9
+    block_rows: int = 20_000
     rounds: int = 4
 
 
@@ -156,20 +161,25 @@ def _join_up(rule: FaultRule):
 def median_step(steps: DataFrame, least: float) -> DataFrame:
     """``k, step``: the exact median of each key's steps, given as ``k, d, n`` (a step and how often it occurs).
 
-    First the counts of about 1 % wide classes of d find those that hold the middle ranks; then only the steps within them
-    are ordered. So no task orders all the steps of a hot key.
+    The counts of classes of d, about 1 % wide and then a few millionths, find those that hold the middle ranks; only the steps
+    within them are ordered. So no task orders all the steps of a hot key.
     """
+    classes = {"c1": 64, "c2": 64 << 12}
     h = steps.groupBy("k", "d").agg(F.sum("n").alias("n"))
-    h = h.withColumn("c", F.when(F.col("d") > 0, F.floor(F.log2("d") * 64)).otherwise(F.lit(-(1 << 40))).cast("long"))
-    by_class = h.groupBy("k", "c").agg(F.sum("n").alias("n"))
-    w = W.partitionBy("k").orderBy("c")
-    cum = by_class.select("k", "c", "n", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("to"), F.sum("n").over(W.partitionBy("k")).alias("all"))
-    lo, hi = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)  # middle ranks from 0
-    base = F.col("to") - F.col("n")
-    mid = cum.where((base <= hi) & (F.col("to") > lo)).select("k", "c", base.alias("base"), lo.alias("lo"), hi.alias("hi"))
-    near = h.join(mid, ["k", "c"])
-    w2 = W.partitionBy("k", "c").orderBy("d").rowsBetween(W.unboundedPreceding, 0)
-    near = near.withColumn("to", F.col("base") + F.sum("n").over(w2))
+    wide = lambda f: F.when(F.col("d") > 0, F.floor(F.log2("d") * f)).otherwise(F.lit(-(1 << 40))).cast("long")
+    near = h.select("k", "d", "n", *(wide(f).alias(c) for c, f in classes.items()))
+    within = ["k"]
+    for c in classes:
+        w = W.partitionBy(*within).orderBy(c).rowsBetween(W.unboundedPreceding, 0)
+        if c == "c1":  # middle ranks from 0
+            cum = near.groupBy("k", c).agg(F.sum("n").alias("m")).withColumn("all", F.sum("m").over(W.partitionBy("k")))
+            cum = cum.select("k", c, "m", F.floor((F.col("all") - 1) / 2).alias("lo"), F.floor(F.col("all") / 2).alias("hi"), F.sum("m").over(w).alias("to"))
+        else:
+            cum = near.groupBy(*within, c, "base", "lo", "hi").agg(F.sum("n").alias("m")).withColumn("to", F.col("base") + F.sum("m").over(w))
+        within = [*within, c]
+        mid = cum.where((F.col("to") - F.col("m") <= F.col("hi")) & (F.col("to") > F.col("lo"))).select(*within, (F.col("to") - F.col("m")).alias("base"), "lo", "hi")
+        near = near.select("k", "d", "n", *classes).join(mid, within)
+    near = near.withColumn("to", F.col("base") + F.sum("n").over(W.partitionBy(*within).orderBy("d").rowsBetween(W.unboundedPreceding, 0)))
     at = lambda r: F.min(F.when((F.col("to") > F.col(r)) & (F.col("to") - F.col("n") <= F.col(r)), F.col("d")))
     return near.groupBy("k").agg(F.greatest((at("lo") + at("hi")) / 2, F.lit(least)).alias("step"))
 
@@ -223,7 +233,7 @@ def outside_ellipsoids(x: np.ndarray, reach: float, rounds: int) -> np.ndarray:
     return out
 
 
-def _excursions(x: np.ndarray, cand: np.ndarray, limit: float) -> np.ndarray:
+def _excursions(x: np.ndarray, cand: np.ndarray, limit: float, tolerance: float) -> np.ndarray:
     """The exact rule for the candidates: the indices of those within an excursion of one to three readings."""
     n = x.size
     hit = np.zeros(cand.size, bool)
@@ -238,7 +248,7 @@ def _excursions(x: np.ndarray, cand: np.ndarray, limit: float) -> np.ndarray:
             w = np.stack([x[i + j] for j in range(length)])
             lo, hi = np.minimum(a, b), np.maximum(a, b)
             for out in (w.min(0) - hi, lo - w.max(0)):
-                hit[np.flatnonzero(ok)] |= (out > limit) & (hi - lo < out)
+                hit[np.flatnonzero(ok)] |= (out - limit > tolerance) & (out - (hi - lo) > tolerance)
     return cand[hit]
 
 
@@ -246,33 +256,31 @@ def _judge(rule: FaultRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts in whole_groups(batches, ["k", "block"]):
             t, starts = _distinct(t, starts)
-            kind = floats(t, "kind")
+            kind = t.column("kind").to_numpy()
             v_all, i_all, t_all = floats(t, "v"), floats(t, "i"), floats(t, "t")
             n = kind.size
             hit_at: list[np.ndarray] = []
             hit_how: list[np.ndarray] = []
-            before, after = t.column("before").combine_chunks(), t.column("after").combine_chunks()
-            run_b, run_a, short, step = (floats(t, c) for c in ("run_before", "run_after", "short", "step"))
+            context = t.column("context").combine_chunks()
             for s, e in zip(starts, np.append(starts[1:], n), strict=True):
                 if kind[s] or e - s < 2:
                     continue  # readings without context don't occur
                 v = v_all[s + 1 : e]
                 how = np.zeros(v.size, np.int8)
                 how[(v < rule.low) | (v > rule.high)] |= 1
-                b, a = np.array(before[int(s)].as_py(), float), np.array(after[int(s)].as_py(), float)
-                limit = rule.factor * (step[s] if np.isfinite(step[s]) else rule.least_step)
+                own = context[int(s)].as_py()
+                b, a = np.array(own["before"], float), np.array(own["after"], float)
+                limit = rule.factor * (rule.least_step if own["step"] is None else own["step"])
                 x = np.concatenate([b, v, a])
                 cand = np.flatnonzero(outside_ellipsoids(x, limit, rule.rounds))
                 cand = cand[(cand >= b.size) & (cand < b.size + v.size)]
-                how[_excursions(x, cand, limit) - b.size] |= 2
+                how[_excursions(x, cand, limit, rule.tolerance) - b.size] |= 2
                 at, size = _runs(v, np.array([0]))
                 size = size.astype(np.int64)
                 total = size.copy()
-                total[0] += int(run_b[s])
-                total[-1] += int(run_a[s])
-                if at.size == 1:
-                    total[0] = size[0] + int(run_b[s]) + int(run_a[s])
-                stuck = (total >= rule.stuck_len) & (total >= rule.stuck_times * short[s])
+                total[0] += own["run_before"]
+                total[-1] += own["run_after"]
+                stuck = (total >= rule.stuck_len) & (total >= rule.stuck_times * own["short"])
                 how[np.repeat(stuck, size)] |= 4
                 f = np.flatnonzero(how)
                 hit_at.append(f + s + 1)
@@ -299,7 +307,9 @@ def implausible_readings(readings: DataFrame, rule: FaultRule = FaultRule(), *,
     """
     r = readings.select(F.col(key).cast("string").alias("k"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col(ident).cast("long").alias("i"), F.col(value).cast("double").alias("v"))
     r = r.where(F.col("k").isNotNull() & F.col("t").isNotNull() & F.col("i").isNotNull() & finite(F.col("v")))
-    r = r.withColumn("block", F.floor(F.col("t") / F.lit(rule.block_days * DAY_US)))
+    span = (F.max("t") - F.min("t") + 1) / F.count("*")
+    size = cut(r.groupBy("k").agg(F.ceil(span * rule.block_rows).cast("long").alias("size")))
+    r = r.join(F.broadcast(size) if size.count() <= FEW else size, "k").withColumn("block", F.floor(F.col("t") / F.col("size"))).drop("size")
     order = ["k", "block", "t", "i"]
     blocks = r.select(*order, "v").repartition("k", "block").sortWithinPartitions(*order)
     summary = cut(blocks.mapInArrow(_summarise(rule), SUMMARY))
@@ -307,11 +317,11 @@ def implausible_readings(readings: DataFrame, rule: FaultRule = FaultRule(), *,
     steps = summary.select("k", F.explode(F.arrays_zip("steps", "counts")).alias("h")).select("k", F.col("h.steps").alias("d"), F.col("h.counts").alias("n"))
     steps = steps.unionByName(context.where(F.col("cross").isNotNull()).select("k", F.col("cross").alias("d"), F.lit(1).cast("long").alias("n")))
     context = context.join(median_step(steps, rule.least_step), "k", "left")
-    null = F.lit(None)
-    both = context.select("k", "block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("i"), F.lit(0.0).alias("v"), "before", "after", "run_before", "run_after", "short", "step")
-    both = both.unionByName(
-        r.select("k", "block", F.lit(1).alias("kind"), "t", "i", "v", null.cast("array<double>").alias("before"), null.cast("array<double>").alias("after"), null.cast("long").alias("run_before"), null.cast("long").alias("run_after"), null.cast("long").alias("short"), null.cast("double").alias("step"))
-    )
+    # a block's context goes before its readings, in one column that they leave empty
+    about = F.struct("before", "after", "run_before", "run_after", "short", "step").alias("context")
+    zero = F.lit(0).cast("long")
+    both = context.select("k", "block", F.lit(False).alias("kind"), zero.alias("t"), zero.alias("i"), F.lit(0.0).alias("v"), about)
+    both = both.unionByName(r.select("k", "block", F.lit(True).alias("kind"), "t", "i", "v"), allowMissingColumns=True)
     both = both.repartition("k", "block").sortWithinPartitions("k", "block", "kind", "t", "i")
     found = both.mapInArrow(_judge(rule), "k string, i long, t long, v double, spike boolean, stuck boolean, impossible boolean")
     return found.select(F.col("k").alias(key), F.col("i").alias(ident), F.timestamp_micros("t").alias(time), F.col("v").alias(value), "spike", "stuck", "impossible")

@@ -128,8 +128,8 @@ step AS (SELECT station_id, greatest(coalesce(median(abs(d)), 0), 0.001) AS step
 win AS (SELECT o.station_id, p, k, list_sort(b)[2] AS b, list_sort(a[k])[2] AS a, list_min(x[k]) AS lo, list_max(x[k]) AS hi
         FROM o, unnest([1, 2, 3]) AS u(k) WHERE p > 3 AND p + k + 2 <= n),
 hit AS (SELECT win.station_id, p, k FROM win JOIN step USING (station_id)
-        WHERE (lo - greatest(a, b) > 10 * step AND abs(a - b) < lo - greatest(a, b))
-           OR (least(a, b) - hi > 10 * step AND abs(a - b) < least(a, b) - hi)),
+        WHERE (lo - greatest(a, b) - 10 * step > 1e-9 AND lo - greatest(a, b) - abs(a - b) > 1e-9)
+           OR (least(a, b) - hi - 10 * step > 1e-9 AND least(a, b) - hi - abs(a - b) > 1e-9)),
 spike AS (SELECT DISTINCT hit.station_id, hit.p + j AS p FROM hit, unnest([0, 1, 2]) AS u(j) WHERE j < k),
 run AS (SELECT *, sum((d IS NULL OR d <> 0)::INT) OVER (PARTITION BY station_id ORDER BY p) AS run FROM o),
 len AS (SELECT station_id, run, count(*) AS c FROM run GROUP BY 1, 2),
