@@ -50,29 +50,38 @@ def smooth(a: np.ndarray, sigma: float) -> np.ndarray:
 
 
 def edges(a: np.ndarray, sigma: float = 1.5, low: float = 80.0, high: float = 97.0) -> np.ndarray:
-    """Edges of a field: smoothed gradient, thinned along its direction, kept from the low percentile where joined to the high one."""
+    """Edges of a field: smoothed gradient, thinned along its direction, kept from the low percentile where joined to the high one.
+
+    Cells whose eight neighbours aren't all known (also those at the grid's border) have no gradient, so that the rim of a hole
+    is no edge. The two diagonal directions are thinned along each other, as results are to equal those of existing cubes.
+    """
     s = smooth(a, sigma)
-    p = np.pad(np.where(np.isfinite(s), s, 0.0), 1, mode="edge")
+    known = np.isfinite(s)
+    p = np.pad(np.where(known, s, 0.0), 1, mode="edge")
     h, w = a.shape
-    at = lambda dy, dx: p[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
-    gx = (at(-1, 1) + 2 * at(0, 1) + at(1, 1)) - (at(-1, -1) + 2 * at(0, -1) + at(1, -1))
-    gy = (at(1, -1) + 2 * at(1, 0) + at(1, 1)) - (at(-1, -1) + 2 * at(-1, 0) + at(-1, 1))
-    mag = np.hypot(gx, gy)
-    mag[~np.isfinite(a)] = 0.0
-    sector = (np.round(np.degrees(np.arctan2(gy, gx)) / 45).astype(int)) % 4
+    near = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
+
+    def at(z: np.ndarray, dy: int, dx: int) -> np.ndarray:
+        return z[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
+
+    gx = (at(p, -1, 1) + 2 * at(p, 0, 1) + at(p, 1, 1)) - (at(p, -1, -1) + 2 * at(p, 0, -1) + at(p, 1, -1))
+    gy = (at(p, 1, -1) + 2 * at(p, 1, 0) + at(p, 1, 1)) - (at(p, -1, -1) + 2 * at(p, -1, 0) + at(p, -1, 1))
+    q = np.pad(known, 1)
+    whole = np.all([at(q, dy, dx) for dy, dx in near], axis=0)
+    mag = np.where(whole, np.hypot(gx, gy), 0.0)
+    sector = (np.round(np.degrees(np.arctan2(gy, gx)) % 180 / 45).astype(int)) % 4
     m = np.pad(mag, 1)
-    thin = np.zeros_like(mag, bool)
-    for k, (dy, dx) in enumerate(((0, 1), (1, 1), (1, 0), (1, -1))):
-        ahead, behind = m[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w], m[1 - dy : 1 - dy + h, 1 - dx : 1 - dx + w]
-        thin |= (sector == k) & (mag >= ahead) & (mag >= behind)
-    thin &= mag > 0
+    thin = np.zeros_like(known)
+    for k, (dy, dx) in enumerate(((0, 1), (-1, 1), (-1, 0), (-1, -1))):
+        thin |= (sector == k) & (mag >= at(m, dy, dx)) & (mag >= at(m, -dy, -dx))
+    thin &= whole
     if not thin.any():
         return thin
     lo, hi = np.percentile(mag[thin], [low, high])
     weak, out = thin & (mag >= lo), thin & (mag >= hi)
     while True:  # grow the strong edges into the weak ones next to them
         q = np.pad(out, 1)
-        grown = weak & np.any([q[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
+        grown = weak & np.any([at(q, dy, dx) for dy, dx in near], axis=0)
         if (grown == out).all():
             return out
         out = grown | out
@@ -85,37 +94,36 @@ def shoreline(water: np.ndarray) -> np.ndarray:
     return water & np.any([q[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
 
 
-def agreement(ys: np.ndarray, xs: np.ndarray, dist: np.ndarray, dy: int, dx: int, tol: float) -> tuple[float, float]:
-    """Share of the edge cells that lie within the tolerance of the coast after a shift (those off the grid miss), and how
-    near these lie on average (higher is nearer)."""
+def agreement(ys: np.ndarray, xs: np.ndarray, dist: np.ndarray, dy: int, dx: int, tol: float) -> float:
+    """Share of the edge cells that lie nearer to the coast than the tolerance after a shift; those off the grid miss."""
     y, x = ys + dy, xs + dx
     ok = (y >= 0) & (y < dist.shape[0]) & (x >= 0) & (x < dist.shape[1])
-    d = dist[y[ok], x[ok]]
-    d = d[d <= tol]
-    return float(d.size / max(ys.size, 1)), -float(d.mean()) if d.size else -np.inf
+    return float((dist[y[ok], x[ok]] < tol).sum()) / ys.size
 
 
 def best_shift(ys: np.ndarray, xs: np.ndarray, dist: np.ndarray, reach: int, tol: float, stride: int = 4, refine: int = 8) -> dict[str, float]:
-    """The shift of best agreement: a coarse search by strides, then every shift round the best few. Ties go to the nearer fit,
-    then the smallest shift."""
-    seen: dict[tuple[int, int], tuple[float, float]] = {}
-
-    def score(dy: int, dx: int) -> tuple[float, float]:
-        if (dy, dx) not in seen:
-            seen[dy, dx] = agreement(ys, xs, dist, dy, dx, tol)
-        return seen[dy, dx]
-
-    coarse = sorted({0, *range(-reach, reach + 1, stride)})
-    ranked = sorted(((score(dy, dx), dy, dx) for dy in coarse for dx in coarse), key=lambda t: (-t[0][0], -t[0][1], t[1] ** 2 + t[2] ** 2, t[1], t[2]))
-    rest = np.array([t[0][0] for t in ranked])
-    for _, dy, dx in ranked[:refine]:
-        for a in range(max(-reach, dy - stride), min(reach, dy + stride) + 1):
-            for b in range(max(-reach, dx - stride), min(reach, dx + stride) + 1):
-                score(a, b)
-    (dy, dx), top = min(seen.items(), key=lambda t: (-t[1][0], -t[1][1], t[0][0] ** 2 + t[0][1] ** 2, t[0]))
-    top = top[0]
-    med, sd = float(np.median(rest)), float(rest.std())
-    return {"dy": dy, "dx": dx, "agree": top, "agree0": score(0, 0)[0], "median": med, "z": (top - med) / sd if sd > 0 else 0.0}
+    """The shift of best agreement: a coarse search by strides, then every shift within a stride of the best few.
+
+    A later shift has to be better, so ties go to the first coarse one by row and column, then to the refined ones as tried. ``z``
+    tells how far the best lies above the median of the coarse surface, in its standard deviations. Without edge cells
+    everything but the shift (0, 0) is missing.
+    """
+    if not ys.size:
+        return {"dy": 0, "dx": 0, "agree": np.nan, "agree0": np.nan, "median": np.nan, "z": np.nan}
+    steps = range(-reach, reach + 1, stride)
+    coarse = [(dy, dx) for dy in steps for dx in steps]
+    scores = {c: agreement(ys, xs, dist, *c, tol) for c in coarse}
+    surface = np.array(list(scores.values()))
+    best = coarse[int(surface.argmax())]
+    around = range(-stride, stride + 1)
+    for k in np.argsort(surface)[-refine:]:
+        for c in ((coarse[k][0] + a, coarse[k][1] + b) for a in around for b in around):
+            if c not in scores:
+                scores[c] = agreement(ys, xs, dist, *c, tol)
+            if scores[c] > scores[best]:
+                best = c
+    med, sd = float(np.median(surface)), float(surface.std())
+    return {"dy": best[0], "dx": best[1], "agree": scores[best], "agree0": agreement(ys, xs, dist, 0, 0, tol), "median": med, "z": (scores[best] - med) / max(sd, 1e-9)}
 
 
 def shifted(a: np.ndarray, dy: int, dx: int, fill: float = np.nan) -> np.ndarray:

@@ -143,8 +143,9 @@ def scene_times(*tables: DataFrame) -> DataFrame:
 
 
 def coast_offsets(edges: DataFrame, res_m: float) -> DataFrame:
-    """Signed offsets in metres of edge cells (``row, col``) from their coast cell (``coast_row, coast_col``): east and north."""
-    return edges.withColumns({"east_m": (F.col("col") - F.col("coast_col")) * res_m, "north_m": (F.col("coast_row") - F.col("row")) * res_m})
+    """Where the coast cell (``coast_row, coast_col``) of an edge cell (``row, col``) lies from it, in metres to the east and north; rows
+    count southward, so a coast south of the edge is negative."""
+    return edges.withColumns({"east_m": (F.col("coast_col") - F.col("col")) * res_m, "north_m": (F.col("row") - F.col("coast_row")) * res_m})
 
 
 def attributes(report: DataFrame, *, key: str) -> DataFrame:
@@ -167,10 +168,11 @@ def time_axis(*series: DataFrame) -> DataFrame:
     return out.where("ts IS NOT NULL").distinct()
 
 
-def at_scene_time(scenes: DataFrame, snapshots: DataFrame, *, variables: list[str], keys: tuple[str, ...] = ("ts", "row", "col")) -> DataFrame:
-    """Channels ``<var>_<source>`` of snapshots (``source, ts, row, col, var, value``) at exactly the scenes' times."""
-    sources = snapshots.select("source", "var", *keys, "value")
-    wide = sources.groupBy(*keys).pivot("var", variables).agg(F.max_by("value", "source"))
+def at_scene_time(scenes: DataFrame, snapshots: DataFrame, *, variables: list[str], sources: list[str], keys: tuple[str, ...] = ("ts", "row", "col")) -> DataFrame:
+    """Channels ``<var>_<source>`` of snapshots (``source, ts, row, col, var, value``) at exactly the scenes' times; sources stand beside
+    each other and never fill one another. A scene without a snapshot has missing values."""
+    own = lambda v, s: F.max(F.when((F.col("var") == v) & (F.col("source") == s), F.col("value"))).alias(f"{v}_{s}")
+    wide = snapshots.groupBy(*keys).agg(*(own(v, s) for v in variables for s in sources))
     return scenes.join(wide, list(keys), "left")
 
 

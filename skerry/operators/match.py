@@ -106,21 +106,26 @@ def insitu_by_cell(matches: DataFrame, stations: DataFrame) -> DataFrame:
 
 def assign_to_area(points: DataFrame, areas: DataFrame) -> DataFrame:
     """``point_id, area, metric``: each point (``point_id, lat, lon``) to the area (``area, west, south, east, north``) that
-    contains it, of several the one with the nearest centre, then the first by name; points in none are dropped.
+    contains it, of several the one with the nearest centre, then the first by name; points in none are dropped. Longitudes
+    are the same modulo 360, so an area may go on past 180 degrees.
 
     Areas and points meet in the whole degrees that an area covers, so the join is on a key.
     """
-    a = areas.withColumn("ty", F.explode(F.sequence(F.floor("south"), F.floor("north")))).withColumn("tx", F.explode(F.sequence(F.floor("west"), F.floor("east"))))
-    p = points.withColumns({"ty": F.floor("lat"), "tx": F.floor("lon")})
-    j = p.join(a, ["ty", "tx"]).where(F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north")))
+    turn = lambda c: F.pmod(F.floor(c), F.lit(360))
+    columns = F.array_distinct(F.transform(F.sequence(F.floor("west"), F.floor("east")), lambda c: F.pmod(c, F.lit(360).cast("long"))))
+    a = areas.where("west <= east AND south <= north").withColumn("ty", F.explode(F.sequence(F.floor("south"), F.floor("north")))).withColumn("tx", F.explode(columns))
+    p = points.withColumns({"ty": F.floor("lat"), "tx": turn(F.col("lon"))})
+    lon = F.col("lon") + 360 * F.floor((F.col("east") - F.col("lon")) / 360)  # the last turn not east of the area
+    j = p.join(a, ["ty", "tx"]).where((lon >= F.col("west")) & F.col("lat").between(F.col("south"), F.col("north")))
     d = haversine_km(F.col("lat"), F.col("lon"), (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2)
     best = j.groupBy("point_id").agg(F.min(F.struct(F.round(d, 9).alias("d"), "area")).alias("b"))
     return best.select("point_id", F.col("b.area").alias("area"), F.col("b.d").alias("metric"))
 
 
-def nearest_place(points: DataFrame, places: DataFrame, *, within_km: float, usable: Column | None = None) -> DataFrame:
+def nearest_place(points: DataFrame, places: DataFrame, *, within_km: float, usable: Column | None = None, other: bool = False) -> DataFrame:
     """``point_id, place_id, km``: the nearest place (``place_id, lat, lon``) of each point within a distance, the first by id of
-    equals; with ``usable`` the nearest of those for which it is true (others are walked past).
+    equals; with ``usable`` the nearest of those for which it is true (others are walked past), with ``other`` the nearest of
+    another id.
 
     Points and places meet in cells of the distance's size, a point looking at the cells around its own.
     """
@@ -135,6 +140,7 @@ def nearest_place(points: DataFrame, places: DataFrame, *, within_km: float, usa
     c = F.floor((F.col("lon") + 180) / 360 * n)
     p = p.withColumn("c", F.explode(F.array_distinct(F.transform(F.sequence(c - F.least(reach, n), c + F.least(reach, n)), lambda k: F.pmod(k, n)))))
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
-    j = p.join(q, ["b", "c"]).withColumn("km", d).where(F.col("km") <= within_km)
+    j = p.join(q, ["b", "c"])
+    j = (j.where(F.col("place_id") != F.col("point_id")) if other else j).withColumn("km", d).where(F.col("km") <= within_km)
     best = j.groupBy("point_id").agg(F.min(F.struct("km", "place_id")).alias("m"))
     return best.select("point_id", F.col("m.place_id").alias("place_id"), F.col("m.km").alias("km"))

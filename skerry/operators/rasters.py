@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from skerry.functions import images
 from skerry.functions.geo import Grid
 from skerry.functions.values import flag
+from skerry.operators.filters import beside
 
 
 def dense(pdf: pd.DataFrame, column: str, height: int, width: int) -> np.ndarray:
@@ -71,42 +72,49 @@ class GeorefRule:
     lift_min: float = 2.5
     gain_min: float = 0.10
     ok_shift_m: float = 300.0
+    max_move: int = 2
+    sigma: float = 1.5
+    low_pct: float = 80.0
+    high_pct: float = 97.0
     windows_m: tuple[float, ...] = (5_000.0, 10_000.0, 20_000.0, 30_000.0)
 
 
-GEOREF = "dy int, dx int, shift_m double, agree double, agree0 double, z double, n_edge long, coast_obs long, valid_frac double, stable boolean, verdict string"
+GEOREF = "dy int, dx int, shift_m double, agree double, agree0 double, z double, n_edge long, coast_obs long, valid_frac double, contrast double, stable boolean, verdict string"
 
 
 def judge_scene(sst: np.ndarray, water: np.ndarray, res: float, rule: GeorefRule) -> dict:
     """The displacement of a scene's edges from the coast, and the verdict.
 
-    ``rejected`` without enough coast, valid cells or edges; then in this order ``unstable`` (the peak moves with the size of the search),
-    ``unrecoverable`` (no peak that stands out), ``ok`` (small shift), ``displaced`` (a clear gain), ``suspect``.
+    ``insufficient_signal`` without enough coast cells under data, valid cells or edges; then, in this order, ``unstable`` (in some search
+    window the peak lies elsewhere), ``unrecoverable`` (no lift above the surface), ``ok`` (a small shift that stands out), ``displaced``
+    (one that stands out, with a clear gain), ``suspect``. The contrast of land and water decides nothing.
     """
     coast = images.shoreline(water)
-    dist = np.sqrt(images.nearest_true(coast)[0])
     ok = np.isfinite(sst)
-    near = dist <= 3
-    out = {"coast_obs": int((ok & near).sum()), "valid_frac": float(ok.mean()), "dy": 0, "dx": 0, "shift_m": 0.0, "agree": 0.0, "agree0": 0.0, "z": 0.0, "stable": True}
-    ys, xs = np.nonzero(images.edges(sst)) if ok.any() else (np.empty(0, int), np.empty(0, int))
+    land, sea = sst[ok & ~water], sst[ok & water]
+    out = {"coast_obs": int((ok & coast).sum()), "valid_frac": float(ok.mean()), "dy": 0, "dx": 0, "shift_m": 0.0, "agree": None, "agree0": None, "z": None, "stable": None}
+    out["contrast"] = abs(float(land.mean()) - float(sea.mean())) if land.size and sea.size else None
+    ys, xs = np.nonzero(images.edges(sst, rule.sigma, rule.low_pct, rule.high_pct)) if ok.any() else (np.empty(0, int), np.empty(0, int))
     out["n_edge"] = int(ys.size)
     if out["coast_obs"] < rule.min_coast or 100 * out["valid_frac"] < rule.min_valid_pct or ys.size < rule.min_edges:
-        return out | {"verdict": "rejected"}
-    tol = rule.tol_m / res
-    limit = min(sst.shape) // 2
-    cells = lambda m: max(1, min(int(m / res), limit))
-    best = images.best_shift(ys, xs, dist, cells(rule.max_shift_m), tol, rule.stride, rule.refine)
-    peaks = [images.best_shift(ys, xs, dist, cells(w), tol, rule.stride, rule.refine) for w in rule.windows_m if cells(w) != cells(rule.max_shift_m)]
-    reach = max(abs(best["dy"]), abs(best["dx"]))
-    stable = all(max(abs(p["dy"] - best["dy"]), abs(p["dx"] - best["dx"])) <= 2 for p, w in zip(peaks, [w for w in rule.windows_m if cells(w) != cells(rule.max_shift_m)], strict=True) if cells(w) >= reach)
+        return out | {"verdict": "insufficient_signal"}
+    dist = np.sqrt(images.nearest_true(coast)[0])
+
+    def peak(reach_m: float) -> dict[str, float]:
+        return images.best_shift(ys, xs, dist, round(reach_m / res), rule.tol_m / res, rule.stride, rule.refine)
+
+    best = peak(rule.max_shift_m)
+    others = (peak(w) for w in rule.windows_m if round(w / res) > 0)
+    stable = all(max(abs(p["dy"] - best["dy"]), abs(p["dx"] - best["dx"])) <= rule.max_move for p in others)
     shift = math.hypot(best["dy"], best["dx"]) * res
+    stands_out = best["z"] >= rule.z_min
     if not stable:
         verdict = "unstable"
-    elif best["z"] < rule.z_min or best["agree"] < rule.lift_min * best["median"]:
+    elif not best["agree"] >= rule.lift_min * best["median"]:
         verdict = "unrecoverable"
-    elif shift <= rule.ok_shift_m:
+    elif stands_out and shift <= rule.ok_shift_m:
         verdict = "ok"
-    elif best["agree"] - best["agree0"] >= rule.gain_min:
+    elif stands_out and best["agree"] - best["agree0"] >= rule.gain_min:
         verdict = "displaced"
     else:
         verdict = "suspect"
@@ -116,10 +124,11 @@ def judge_scene(sst: np.ndarray, water: np.ndarray, res: float, rule: GeorefRule
 def check_georeference(scenes: DataFrame, water: DataFrame, grid: Grid, rule: GeorefRule = GeorefRule(), *, keys: list[str], value: str = "sst") -> DataFrame:
     """One row a scene with the shift that puts it on the coast and the verdict of :func:`judge_scene`; dy and dx in cells.
 
-    The water mask (``row, col, water``; missing is water) of one class only skips the check: every scene is ``rejected``."""
+    A cell of the water mask (``row, col, water``) is water above a half; a missing cell is water. With a mask of one class only
+    there is no coast, so every scene has ``insufficient_signal``."""
     mask = np.ones((grid.height, grid.width), bool)
-    # one value a cell of the grid: its size is fixed by the configuration
-    land = water.where("water <= 0").select("row", "col").limit(grid.height * grid.width).toPandas()
+    # at most one row a cell of the grid: its size is fixed by the configuration
+    land = water.where("water <= 0.5").where(grid.inside(F.col("row"), F.col("col"))).select("row", "col").distinct().toPandas()
     mask[land["row"], land["col"]] = False
     height, width, res = grid.height, grid.width, grid.res
     s = scenes.select(*keys, "row", "col", F.col(value).cast("double").alias("v"))
@@ -174,9 +183,26 @@ def bilinear(targets: DataFrame, field: DataFrame, *, lat0: float, lon0: float,
     return j.join(need, "target_id").select("target_id", *keys, F.when(F.col("n") == F.col("need"), F.col("v")).alias("value"))
 
 
-def scene_quality(scenes: DataFrame, reference: DataFrame, water: DataFrame, *, keys: list[str], cells: int) -> DataFrame:
-    """``*keys, valid_frac, contrast``: share of cells with a value, and mean over land less mean over water."""
-    j = scenes.join(water.select("row", "col", F.col("water").alias("_w")), ["row", "col"], "left")
-    land = F.col("_w") <= 0
-    g = j.groupBy(*keys).agg((F.count("sst") / cells).alias("valid_frac"), (F.avg(F.when(flag(land), F.col("sst"))) - F.avg(F.when(~flag(land), F.col("sst")))).alias("contrast"))
-    return g if reference is None else g.join(reference, keys, "left")
+def coast_cells(water: DataFrame, grid: Grid) -> DataFrame:
+    """``row, col`` of the cells next to land (eight neighbours) that are not land (``row, col, water`` of a half or less); the grid's border is
+    no land. Each land cell is sent to its neighbours, so no pairs of cells are formed."""
+    land = water.where("water <= 0.5").select("row", "col").distinct()
+    steps = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b))
+    beside_land = land.withColumn("q", F.explode(steps)).select((F.col("row") + F.col("q.a")).alias("row"), (F.col("col") + F.col("q.b")).alias("col"))
+    return beside_land.where(grid.inside(F.col("row"), F.col("col"))).distinct().join(land, ["row", "col"], "left_anti")
+
+
+def scene_quality(scenes: DataFrame, water: DataFrame, grid: Grid, *, keys: list[str], value: str = "sst") -> DataFrame:
+    """``*keys, valid_frac, coast_obs, coast_obs_frac, contrast``: share of the grid's cells with a value, coast cells under a value and
+    their share of all coast cells, and the absolute difference of the means over land and over water (missing without both)."""
+    coast = coast_cells(water, grid).withColumn("_coast", F.lit(True))
+    total = coast.agg(F.count("*").alias("_n"))
+    land = water.where("water <= 0.5").select("row", "col", F.lit(True).alias("_land")).distinct()
+    j = scenes.join(land, ["row", "col"], "left").join(coast, ["row", "col"], "left").withColumn("_v", F.when(~F.isnan(value), F.col(value)))
+    on_water = F.col("_land").isNull()
+    g = j.groupBy(*keys).agg(
+        (F.count("_v") / (grid.height * grid.width)).alias("valid_frac"),
+        F.count(F.when(F.col("_coast"), F.col("_v"))).alias("coast_obs"),
+        F.abs(F.avg(F.when(~on_water, F.col("_v"))) - F.avg(F.when(on_water, F.col("_v")))).alias("contrast"),
+    )
+    return beside(g, total).select(*keys, "valid_frac", "coast_obs", (F.col("coast_obs") / F.greatest(F.col("_n"), F.lit(1))).alias("coast_obs_frac"), "contrast")

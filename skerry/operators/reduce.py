@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skerry.functions.values import flag
+from skerry.functions.values import flag, null_nan
 from skerry.operators.filters import beside
 
 
@@ -100,16 +99,18 @@ def longest_tag(names: DataFrame, tags: DataFrame) -> DataFrame:
     return names.join(hit, "name", "left").select("name", "tag")
 
 
-def sample_cells(dem: DataFrame, *, blocks: int, height: int, width: int, low: float = -5.0, high: float = 2.0) -> DataFrame:
+def sample_cells(dem: DataFrame, *, blocks: int, height: int, width: int, low: float = -5.0, high: float = 2.0, most: int = 25) -> DataFrame:
     """``block, row, col, elevation``: of each of blocks x blocks parts of the grid the cell nearest to zero within the band (of the whole
-    DEM if no cell is in it), of equals the first by row and column."""
+    DEM if no cell is in it), of equals the first by row and column; the first ``most`` blocks that have one. Block i begins at
+    row floor(i * height / blocks), and so for columns."""
     banded = dem.where(F.col("elevation").between(low, high))
     none = banded.agg((F.count("*") == 0).alias("_none"))
     d = beside(dem.where("elevation IS NOT NULL"), none).where(F.col("_none") | F.col("elevation").between(low, high))
-    part = lambda c, n: F.least(F.floor(F.col(c) * blocks / n), F.lit(blocks - 1))
+    part = lambda c, n: F.floor(((F.col(c) + 1) * blocks - 1) / n)
     d = d.withColumn("block", (part("row", height) * blocks + part("col", width)).cast("int"))
     best = d.groupBy("block").agg(F.min(F.struct(F.abs("elevation").alias("a"), "row", "col", "elevation")).alias("b"))
-    return best.select("block", "b.row", "b.col", "b.elevation")
+    best = best.select("block", "b.row", "b.col", "b.elevation")
+    return best if most >= blocks * blocks else best.orderBy("block").limit(most)
 
 
 def datum_offset(points: DataFrame, *, key: str, value: str, least: int = 5, sane_m: float = 5.0, spread_max: float = 0.5, sentinel: float = 10_000.0, fallback: float | None = None) -> DataFrame:
@@ -140,7 +141,8 @@ def merged_sources(readings: DataFrame, *, key: str, time: str, lat: str = "lat"
 
 
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by an order; an aggregate, so a hot key combines before the shuffle."""
+    """The first row of each key by an order; an aggregate, so a hot key combines before the shuffle. NaN becomes missing."""
+    df = null_nan(df)
     rest = [c for c in df.columns if c not in keys]
     best = F.min(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), *(F.col(c).alias(f"r{i}") for i, c in enumerate(rest)))).alias("b")
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col(f"b.r{i}").alias(c) for i, c in enumerate(rest)))
@@ -162,10 +164,9 @@ def select_readings(readings: DataFrame, *, start: str, end: str, max_depth: flo
 def nearest_level(wanted: DataFrame, levels: DataFrame) -> DataFrame:
     """``depth, level, gap, far``: the model level nearest to each wanted depth (of equals the shallower); far beyond 5 m.
 
-    Both sides are put in one order, and the neighbours on either side compared; no pairs are formed."""
-    u = levels.select(F.col("level").cast("double").alias("x"), F.col("level").cast("double").alias("level"), F.lit(None).cast("double").alias("depth")).unionByName(wanted.select(F.col("depth").cast("double").alias("x"), F.lit(None).cast("double").alias("level"), F.col("depth").cast("double").alias("depth")))
-    w = W.partitionBy(F.lit(0)).orderBy("x")
-    u = u.withColumns({"lo": F.last("level", True).over(w.rangeBetween(W.unboundedPreceding, W.currentRow)), "hi": F.first("level", True).over(w.rangeBetween(W.currentRow, W.unboundedFollowing))}).where("depth IS NOT NULL")
-    lo = F.col("hi").isNull() | (F.col("depth") - F.col("lo") <= F.col("hi") - F.col("depth"))
-    pick = F.when(F.col("lo").isNotNull() & lo, F.col("lo")).otherwise(F.col("hi"))
-    return u.select("depth", pick.alias("level"), F.abs(F.col("depth") - pick).alias("gap"), (F.abs(F.col("depth") - pick) > 5).alias("far"))
+    A model has a few dozen levels: they go to each wanted depth as one array, without a shuffle of the depths."""
+    known = levels.agg(F.sort_array(F.collect_set(F.col("level").cast("double"))).alias("_levels"))
+    w = beside(wanted.select(F.col("depth").cast("double").alias("depth")), known)
+    best = F.array_min(F.transform("_levels", lambda x: F.struct(F.abs(x - F.col("depth")).alias("gap"), x.alias("level"))))
+    w = w.select("depth", best.alias("b"))
+    return w.select("depth", "b.level", "b.gap", (F.col("b.gap") > 5).alias("far"))

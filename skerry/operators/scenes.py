@@ -110,9 +110,12 @@ def water_polarity(scenes: DataFrame, land: DataFrame, *, sample: int = 8, least
     least ``sure`` of (layer < 0.5) agrees with water, ``water-coded`` at 1 - sure or less, else ``ambiguous``; ``too few`` below
     ``least`` cells. ``agreement`` is the larger share; ``binary`` tells that the layer looks like 0 and 1.
     """
-    g = scenes.groupBy("granule").agg(F.min("ts").alias("ts"))
-    n = F.count("*").over(W.partitionBy())
-    g = g.select("granule", F.row_number().over(W.partitionBy().orderBy("ts", "granule")).alias("k"), F.greatest(F.floor(n / sample), F.lit(1)).alias("stride"))
+    g = scenes.groupBy("granule").agg(F.min("ts").alias("ts")).withColumn("_day", F.to_date("ts"))
+    # ranks over all granules: those within a day, after the number of the days before (one row a day of the calendar)
+    days = g.groupBy("_day").agg(F.count("*").alias("m"))
+    before = F.sum("m").over(W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1))
+    days = days.select("_day", F.coalesce(before, F.lit(0)).alias("before"), F.sum("m").over(W.partitionBy()).alias("n"))
+    g = g.join(days, g["_day"].eqNullSafe(days["_day"])).select("granule", (F.col("before") + F.row_number().over(W.partitionBy(g["_day"]).orderBy("ts", "granule"))).alias("k"), F.greatest(F.floor(F.col("n") / sample), F.lit(1)).alias("stride"))
     pick = g.where(((F.col("k") - 1) % F.col("stride") == 0) & ((F.col("k") - 1) / F.col("stride") < sample)).select("granule")
     s = scenes.join(pick, "granule", "left_semi").where("water IS NOT NULL").join(land.where("water IS NOT NULL").select("row", "col", F.col("water").alias("land_water")), ["row", "col"])
     agg = s.agg(F.avg(((F.col("water") < 0.5) == (F.col("land_water") > 0.5)).cast("double")).alias("f"), F.count("*").alias("cells"), F.countDistinct("water").alias("kinds"), F.min("water").alias("lo"), F.max("water").alias("hi"))

@@ -289,7 +289,7 @@ def insitu_cells(spark: SparkSession, d: str) -> DataFrame:
 HAVERSINE = "12742.0::DOUBLE * asin(sqrt(least(1.0, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
 
 
-@query("assign_area", f"""WITH j AS (SELECT station_id, aoi.aoi, round({HAVERSINE.format(a='lat', b='lon', c='(south + north) / 2', d='(west + east) / 2')}, 9) AS dist FROM station JOIN aoi ON lon BETWEEN west AND east AND lat BETWEEN south AND north)
+@query("assign_area", f"""WITH j AS (SELECT station_id, aoi.aoi, round({HAVERSINE.format(a='lat', b='lon', c='(south + north) / 2', d='(west + east) / 2')}, 9) AS dist FROM station JOIN aoi ON lat BETWEEN south AND north JOIN (VALUES (-360), (0), (360)) AS t(turn) ON lon + turn BETWEEN west AND east)
   SELECT station_id AS point_id, aoi AS area, round(dist, 6) AS metric FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY dist, aoi) AS k FROM j) WHERE k = 1""")
 def assign_area(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "station").select(F.col("station_id").alias("point_id"), "lat", "lon")
@@ -301,18 +301,18 @@ def _gauge_sql(where: str) -> str:
   SELECT station_id AS point_id, gauge AS place_id, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY km, gauge) AS k FROM j WHERE km <= 150) WHERE k = 1"""
 
 
-@query("nearest_gauge", _gauge_sql("AND substr(s.station_id, 4) % 2 = 0 AND substr(g.station_id, 4) % 2 = 1".replace("substr(s.station_id, 4)", "CAST(substr(s.station_id, 4) AS INT)").replace("substr(g.station_id, 4)", "CAST(substr(g.station_id, 4) AS INT)")))
+@query("nearest_gauge", _gauge_sql(""))
 def nearest_gauge(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "station").withColumn("odd", F.substring("station_id", 4, 20).cast("int") % 2)
-    p, g = s.where("odd = 0").withColumnRenamed("station_id", "point_id"), s.where("odd = 1").withColumnRenamed("station_id", "place_id")
-    return match.nearest_place(p, g, within_km=150.0).withColumn("km", rnd("km", 6))
+    s = table(spark, d, "station")
+    p, g = s.withColumnRenamed("station_id", "point_id"), s.withColumnRenamed("station_id", "place_id")
+    return match.nearest_place(p, g, within_km=150.0, other=True).withColumn("km", rnd("km", 6))
 
 
-@query("datum_walk", _gauge_sql("AND CAST(substr(s.station_id, 4) AS INT) % 2 = 0 AND CAST(substr(g.station_id, 4) AS INT) % 2 = 1 AND g.network IS NOT NULL AND CAST(substr(g.station_id, 4) AS INT) % 3 > 0"))
+@query("datum_walk", _gauge_sql("AND g.network IS NOT NULL AND length(g.name) > 12"))
 def datum_walk(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "station").withColumn("nr", F.substring("station_id", 4, 20).cast("int"))
-    p, g = s.where("nr % 2 = 0").withColumnRenamed("station_id", "point_id"), s.where("nr % 2 = 1").withColumnRenamed("station_id", "place_id")
-    return match.nearest_place(p, g, within_km=150.0, usable=F.col("network").isNotNull() & (F.col("nr") % 3 > 0)).withColumn("km", rnd("km", 6))
+    s = table(spark, d, "station")
+    p, g = s.withColumnRenamed("station_id", "point_id"), s.withColumnRenamed("station_id", "place_id")
+    return match.nearest_place(p, g, within_km=150.0, usable=F.col("network").isNotNull() & (F.length("name") > 12), other=True).withColumn("km", rnd("km", 6))
 
 
 # ---- days, coverage, provenance -------------------------------------------------------------------------------------------
@@ -465,6 +465,8 @@ def water_line(spark: SparkSession, d: str) -> DataFrame:
 # ---- grids, levels, datum, guards -----------------------------------------------------------------------------------------
 
 DEM = "SELECT CAST(floor(l_partkey % 1600 / 40) AS INT) AS cr, CAST(l_partkey % 40 AS INT) AS cc, CASE WHEN min(l_quantity) < 2 THEN NULL ELSE min(l_quantity) - 12.5 END AS elevation FROM {lineitem} GROUP BY 1, 2"
+#: As above on 42 x 42 cells, which five blocks don't divide evenly.
+DEM42 = DEM.replace("1600 / 40", "1764 / 42").replace("l_partkey % 40 ", "l_partkey % 42 ")
 DEM_DUCK = f"dem AS ({DEM.format(lineitem='lineitem')})"
 
 
@@ -478,13 +480,14 @@ def depths(spark: SparkSession, d: str) -> DataFrame:
     return reduce.with_depths(frame(spark, d, DEM))
 
 
-@query("sample_cells", f"""WITH {DEM_DUCK}, b AS (SELECT *, (least(cr * 5 // 40, 4) * 5 + least(cc * 5 // 40, 4))::INT AS block FROM dem WHERE elevation BETWEEN -5 AND 2)
+@query("sample_cells", f"""WITH dem AS ({DEM42.format(lineitem='lineitem')}), e AS (SELECT * FROM (VALUES (0, 0, 8), (1, 8, 16), (2, 16, 25), (3, 25, 33), (4, 33, 42)) AS t(k, first, after)),
+  b AS (SELECT dem.*, (y.k * 5 + x.k)::INT AS block FROM dem JOIN e y ON cr >= y.first AND cr < y.after JOIN e x ON cc >= x.first AND cc < x.after WHERE elevation BETWEEN -5 AND 2)
   SELECT block, cr AS row, cc AS col, elevation FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY abs(elevation), cr, cc) AS k FROM b) WHERE k = 1""")
 def sample_cells(spark: SparkSession, d: str) -> DataFrame:
-    return reduce.sample_cells(frame(spark, d, DEM), blocks=5, height=40, width=40)
+    return reduce.sample_cells(frame(spark, d, DEM42), blocks=5, height=42, width=42)
 
 
-OFFSETS = "SELECT c_nationkey AS k, CASE WHEN c_custkey % 17 = 0 THEN -999999 ELSE (c_custkey % (3 + c_nationkey)) / 20.0 + CASE WHEN c_nationkey > 22 THEN 7 ELSE 0 END END AS off FROM {customer} WHERE c_custkey % 25 > c_nationkey OR c_nationkey < 5"
+OFFSETS = "SELECT c_nationkey AS k, CASE WHEN c_custkey % 17 = 0 THEN -999999 WHEN c_custkey % 25 <= c_nationkey AND c_nationkey >= 5 THEN NULL ELSE (c_custkey % (3 + c_nationkey)) / 20.0 + CASE WHEN c_nationkey > 22 THEN 7 ELSE 0 END END AS off FROM {customer}"
 
 
 @query("datum_offset", f"""WITH o AS (SELECT k, CASE WHEN abs(off) <= 10000 THEN off::DOUBLE END AS v FROM ({OFFSETS.format(customer='customer')})), g AS (SELECT k, median(v) AS m, max(v) - min(v) AS s, count(v) AS n FROM o GROUP BY 1),
@@ -509,7 +512,7 @@ def merged_station(spark: SparkSession, d: str) -> DataFrame:
     return reduce.merged_sources(frame(spark, d, DRIFT), key="user_id", time="h")
 
 
-@query("dedupe_first", "SELECT station_id, time, obs_id, value FROM (SELECT *, row_number() OVER (PARTITION BY station_id, time ORDER BY received_at, obs_id) AS k FROM obs) WHERE k = 1", instants=("time",))
+@query("dedupe_first", "SELECT station_id, time, obs_id, CASE WHEN NOT isnan(value) THEN value END AS value FROM (SELECT *, row_number() OVER (PARTITION BY station_id, time ORDER BY received_at, obs_id) AS k FROM obs) WHERE k = 1", instants=("time",))
 def dedupe_first(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "obs").select("station_id", "time", "obs_id", "value", "received_at").withColumn("time", F.col("time").cast("timestamp"))
     return reduce.first_of(o, ["station_id", "time"], ["received_at", "obs_id"]).select("station_id", "time", "obs_id", "value")
@@ -642,11 +645,11 @@ def missing_rules(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- rasters --------------------------------------------------------------------------------------------------------------
 
-SPARSE = f"SELECT l_returnflag AS scene, {CELL.format('l_partkey')}, max(l_extendedprice) / 1000 AS value FROM {{lineitem}} WHERE l_partkey % 400 % 7 < 2 AND l_suppkey % 10 < 3 GROUP BY 1, 2, 3"
+SPARSE = f"SELECT l_returnflag AS scene, {CELL.format('l_partkey')}, CASE WHEN max(l_extendedprice) > 30000 + 200 * (max(l_partkey) % 400) THEN max(l_extendedprice) / 1000 END AS value FROM {{lineitem}} GROUP BY 1, 2, 3"
 
 
 @query("nn_fill", f"""+ f AS ({SPARSE.format(lineitem='lineitem')}), want AS (SELECT scene, s.cr, s.cc FROM (SELECT DISTINCT scene FROM f) CROSS JOIN static s LEFT JOIN f USING (scene, cr, cc) WHERE s.water > 0 AND f.value IS NULL),
-  n AS (SELECT w.scene, w.cr, w.cc, f.value, row_number() OVER (PARTITION BY w.scene, w.cr, w.cc ORDER BY pow(f.cr - w.cr, 2) + pow(f.cc - w.cc, 2), f.cr, f.cc) AS k FROM want w JOIN f USING (scene))
+  n AS (SELECT w.scene, w.cr, w.cc, f.value, row_number() OVER (PARTITION BY w.scene, w.cr, w.cc ORDER BY pow(f.cr - w.cr, 2) + pow(f.cc - w.cc, 2), f.cr, f.cc) AS k FROM want w JOIN (SELECT * FROM f WHERE value IS NOT NULL) f USING (scene))
   SELECT scene, cr AS row, cc AS col, value, true AS filled FROM n WHERE k = 1 UNION ALL SELECT scene, cr, cc, value, false FROM f WHERE value IS NOT NULL""", ("static",))
 def nn_fill(spark: SparkSession, d: str) -> DataFrame:
     return rasters.fill_nearest(frame(spark, d, SPARSE), frame(spark, d, "static"), GRID, keys=["scene"])
@@ -695,15 +698,19 @@ def bilinear_points(spark: SparkSession, d: str) -> DataFrame:
     return rasters.bilinear(t, f, lat0=0.0, lon0=0.0, step=8.0, keys=[]).withColumn("value", rnd("value", 6))
 
 
-@query("scene_quality", "+ j AS (SELECT granule, sst, t.water FROM scene LEFT JOIN static t USING (cr, cc)) SELECT granule, round(count(sst) / 400.0::DOUBLE, 6) AS valid_frac, round(avg(sst) FILTER (WHERE coalesce(water <= 0, false)) - avg(sst) FILTER (WHERE NOT coalesce(water <= 0, false)), 6) AS contrast FROM j GROUP BY 1", ("scene", "static"))
+@query("scene_quality", """+ land AS (SELECT cr, cc FROM static WHERE water <= 0.5), cells AS (SELECT y AS cr, x AS cc FROM range(20) a(y), range(20) b(x)),
+  coast AS (SELECT c.cr, c.cc FROM cells c ANTI JOIN land USING (cr, cc) SEMI JOIN land l ON abs(l.cr - c.cr) <= 1 AND abs(l.cc - c.cc) <= 1),
+  j AS (SELECT granule, sst, land.cr IS NOT NULL AS on_land, coast.cr IS NOT NULL AS on_coast FROM scene s LEFT JOIN land ON land.cr = s.cr AND land.cc = s.cc LEFT JOIN coast ON coast.cr = s.cr AND coast.cc = s.cc)
+  SELECT granule, round(count(sst) / 400.0::DOUBLE, 6) AS valid_frac, count(sst) FILTER (WHERE on_coast) AS coast_obs, round(count(sst) FILTER (WHERE on_coast) / (SELECT greatest(count(*), 1) FROM coast)::DOUBLE, 6) AS coast_obs_frac,
+    round(abs(avg(sst) FILTER (WHERE on_land) - avg(sst) FILTER (WHERE NOT on_land)), 6) AS contrast FROM j GROUP BY 1""", ("scene", "static"))
 def scene_quality(spark: SparkSession, d: str) -> DataFrame:
     s = frame(spark, d, "scene").drop("water")
-    return rasters.scene_quality(s, None, frame(spark, d, "static"), keys=["granule"], cells=400).select("granule", r6("valid_frac"), r6("contrast"))
+    return rasters.scene_quality(s, frame(spark, d, "static"), GRID, keys=["granule"]).select("granule", r6("valid_frac"), "coast_obs", r6("coast_obs_frac"), r6("contrast"))
 
 
 # ---- tides, catalogues, streams -------------------------------------------------------------------------------------------
 
-HARMONICS = "SELECT s_suppkey AS station_id, 1 + s_acctbal / 10000 AS amplitude, 28.9841042 AS speed_deg_h, CAST(s_suppkey % 360 AS DOUBLE) AS phase_deg FROM {supplier} WHERE s_suppkey <= 40 UNION ALL SELECT s_suppkey, 0.3, 15.0410686, CAST(s_suppkey * 7 % 360 AS DOUBLE) FROM {supplier} WHERE s_suppkey <= 40"
+HARMONICS = "SELECT s_suppkey AS station_id, 1 + s_acctbal / 10000 AS amplitude, 28.9841042 AS speed_deg_h, CAST(s_suppkey % 360 AS DOUBLE) AS phase_deg FROM {supplier} UNION ALL SELECT s_suppkey, 0.3, 15.0410686, CAST(s_suppkey * 7 % 360 AS DOUBLE) FROM {supplier}"
 
 
 @query("tide_prediction", f"""WITH c AS ({HARMONICS.format(supplier='supplier')}), t AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-03 23:00:00', INTERVAL 1 HOUR)) AS ts)
@@ -733,7 +740,7 @@ def tile_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 DAYS = "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN concat('A', year(o_orderdate), lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '15.nc') ELSE 'unnamed' END AS name, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS t0, o_orderdate + INTERVAL 36 HOURS AS t1 FROM {orders}"
-FLOWN = "SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM {lineitem} WHERE l_orderkey % 40 = 0"
+FLOWN = "SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM {lineitem} WHERE l_quantity > 48"
 
 
 @query("granule_days", f"""WITH g AS ({DAYS.format(orders='orders').replace('AS STRING', 'AS VARCHAR')}), s AS (SELECT id, coalesce(CAST(try_strptime(nullif(regexp_extract(name, '([0-9]{{8}})', 1), ''), '%Y%m%d') AS DATE), CAST(t0 + (t1 - t0) / 2 AS DATE)) AS day FROM g)
@@ -746,7 +753,9 @@ def granule_days(spark: SparkSession, d: str) -> DataFrame:
 @query("user_observations", """WITH r AS (SELECT station_id, strptime(trim(time, ' ' || chr(9)), '%Y-%m-%d %H:%M:%S') AT TIME ZONE coalesce(time_zone, 'UTC') AT TIME ZONE 'UTC' AS u, coalesce(time_zone, 'UTC') AS tz, strptime(trim(time, ' ' || chr(9)), '%Y-%m-%d %H:%M:%S') AS w,
     CASE units WHEN 'degC' THEN value WHEN 'K' THEN value - 273.15 ELSE (value - 32) * 5 / 9 END AS v FROM logger_row JOIN feed USING (feed_id)
     WHERE regexp_full_match(trim(time, ' ' || chr(9)), '[0-9]{4}-(0[1-9]|1[0-2])-[0-9]{2} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]') AND try_strptime(trim(time, ' ' || chr(9)), '%Y-%m-%d %H:%M:%S') IS NOT NULL AND value IS NOT NULL AND NOT isnan(value))
-  SELECT station_id, count(*) AS n, sum((v NOT BETWEEN -5 AND 45)::INT)::BIGINT AS n_suspect FROM r WHERE station_id IS NOT NULL AND (u AT TIME ZONE 'UTC') AT TIME ZONE tz = w GROUP BY 1""")
+  SELECT station_id, count(*) AS n, sum((v NOT BETWEEN -5 AND 45)::INT)::BIGINT AS n_suspect FROM r WHERE station_id IS NOT NULL AND (u AT TIME ZONE 'UTC') AT TIME ZONE tz = w
+    AND NOT ((u + INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE tz = w AND NOT ((u - INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE tz = w
+    AND NOT ((u + INTERVAL 30 MINUTE) AT TIME ZONE 'UTC') AT TIME ZONE tz = w AND NOT ((u - INTERVAL 30 MINUTE) AT TIME ZONE 'UTC') AT TIME ZONE tz = w GROUP BY 1""")
 def user_observations(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "logger_row").withColumn("time", F.regexp_replace("time", r"^[ \t]+|[ \t]+$", "")).where(F.regexp_like("time", F.lit(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")))
     r = r.join(table(spark, d, "feed").select("feed_id", "time_zone", "units"), "feed_id")
@@ -858,7 +867,7 @@ def scene_times(spark: SparkSession, d: str) -> DataFrame:
     return acquire.scene_times(o.where("sensor = 'eco'"), o.where("sensor = 'lst'"))
 
 
-@query("coast_offsets", "SELECT cr AS row, cc AS col, (cc - 9) * 100.0::DOUBLE AS east_m, (11 - cr) * 100.0::DOUBLE AS north_m FROM static", ("static",))
+@query("coast_offsets", "SELECT cr AS row, cc AS col, (9 - cc) * 100.0::DOUBLE AS east_m, (cr - 11) * 100.0::DOUBLE AS north_m FROM static", ("static",))
 def coast_offsets(spark: SparkSession, d: str) -> DataFrame:
     e = frame(spark, d, "static").select("row", "col", F.lit(11).alias("coast_row"), F.lit(9).alias("coast_col"))
     return acquire.coast_offsets(e, 100.0).select("row", "col", "east_m", "north_m")
@@ -881,14 +890,15 @@ def time_axis(spark: SparkSession, d: str) -> DataFrame:
     return acquire.time_axis(hour("obs"), hour("overpass"))
 
 
-SNAPSHOTS = f"SELECT 'hrrr' AS source, l_shipdate AS ts0, {CELL.format('l_partkey')}, CASE l_linenumber % 2 WHEN 0 THEN 'airtemp' ELSE 'swrad' END AS var, max(l_tax) * 100 AS value FROM {{lineitem}} WHERE l_suppkey % 3 = 0 GROUP BY 2, 3, 4, 5"
+SNAPSHOTS = f"SELECT CASE l_returnflag WHEN 'A' THEN 'era5' ELSE 'hrrr' END AS source, l_shipdate AS ts0, {CELL.format('l_partkey')}, CASE l_linenumber % 2 WHEN 0 THEN 'airtemp' ELSE 'swrad' END AS var, max(l_tax) * 100 AS value FROM {{lineitem}} GROUP BY 1, 2, 3, 4, 5"
 
 
 @query("met_at_overpass", f"""+ b AS (SELECT DISTINCT ts0, cr, cc FROM scene), m AS ({SNAPSHOTS.format(lineitem='lineitem')})
-  SELECT ts0 AS ts, cr AS row, cc AS col, max(value) FILTER (WHERE var = 'airtemp') AS airtemp, max(value) FILTER (WHERE var = 'swrad') AS swrad FROM b LEFT JOIN m USING (ts0, cr, cc) GROUP BY 1, 2, 3""", ("scene",), instants=("ts",))
+  SELECT ts0 AS ts, cr AS row, cc AS col, max(value) FILTER (WHERE var = 'airtemp' AND source = 'hrrr') AS airtemp_hrrr, max(value) FILTER (WHERE var = 'airtemp' AND source = 'era5') AS airtemp_era5,
+    max(value) FILTER (WHERE var = 'swrad' AND source = 'hrrr') AS swrad_hrrr, max(value) FILTER (WHERE var = 'swrad' AND source = 'era5') AS swrad_era5 FROM b LEFT JOIN m USING (ts0, cr, cc) GROUP BY 1, 2, 3""", ("scene",), instants=("ts",))
 def met_at_overpass(spark: SparkSession, d: str) -> DataFrame:
     b = frame(spark, d, "scene").select("ts", "row", "col").distinct()
-    return acquire.at_scene_time(b, frame(spark, d, SNAPSHOTS), variables=["airtemp", "swrad"])
+    return acquire.at_scene_time(b, frame(spark, d, SNAPSHOTS), variables=["airtemp", "swrad"], sources=["hrrr", "era5"])
 
 
 @query("tide_at_overpass", """+ o AS (SELECT DISTINCT overpass_id, trim(station_id) AS s, epoch_us(time) AS t0 FROM overpass), r AS (SELECT station_id AS s, epoch_us(time) AS t, min(value) AS v FROM obs WHERE isfinite(value) GROUP BY 1, 2),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import math
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +15,9 @@ from skerry.functions.values import to_celsius
 
 #: Header names taken for each field, in lower case.
 POINT_NAMES = {
-    "point_id": ("point_id", "id", "station", "station_id", "name", "site"),
+    "point_id": ("point_id", "id", "station_id", "station", "name", "site"),
     "lat": ("lat", "latitude", "y"),
-    "lon": ("lon", "long", "longitude", "lng", "x"),
+    "lon": ("lon", "longitude", "x"),
 }
 
 
@@ -67,12 +68,16 @@ def read_points(spark: SparkSession, path: str, columns: dict[str, str] | None =
 
 
 def parse_wall_times(text: Column, zone: Column) -> Column:
-    """UTC instants of texts: those with an offset as they say, others in the zone; a wall time skipped by a clock change is NULL."""
+    """UTC instants of texts: those with an offset as they say, others in the zone; a wall time that a clock change skips or
+    that occurs twice is NULL. The session's time zone must be UTC."""
     own = F.regexp_like(text, F.lit(r"(Z|[+-]\d{2}:?\d{2})$"))
     naive = F.try_to_timestamp(F.when(~own, F.regexp_replace(text, "T", " ")))
-    utc = F.to_utc_timestamp(naive, zone)
-    back = F.from_utc_timestamp(utc, zone)
-    return F.when(own, F.try_to_timestamp(F.when(own, text))).otherwise(F.when(back == naive, utc))
+    day = F.expr("INTERVAL 1 DAY")
+    # the zone's offsets a day before and after; the instants that they give are the only ones possible
+    tries = [naive - (F.from_utc_timestamp(t, zone) - t) for t in (naive - day, naive + day)]
+    real = [F.coalesce(F.from_utc_timestamp(u, zone) == naive, F.lit(False)) for u in tries]
+    one = F.when(real[0] & real[1], F.when(tries[0] == tries[1], tries[0])).when(real[0], tries[0]).when(real[1], tries[1])
+    return F.when(own, F.try_to_timestamp(F.when(own, text))).otherwise(one)
 
 
 def observations(raw: DataFrame, *, columns: dict[str, str], units: Column, zone: Column, low: float = -5.0, high: float = 45.0) -> DataFrame:
@@ -105,12 +110,12 @@ def tile_bounds(name: Column) -> dict[str, Column]:
     return {"west": lon, "south": lat - 0.25, "east": lon + 0.25, "north": lat}
 
 
-def overview_level(native_m: float, wanted_m: float) -> int:
-    """The coarsest stored resolution (each half the one before, 0 to 3) that is still as fine as wanted."""
-    level = 0
-    while level < 3 and native_m * 2 ** (level + 1) <= wanted_m:
-        level += 1
-    return level
+def overview_level(native_m: float, wanted_m: float) -> int | None:
+    """The overview (0 to 3, each of half the resolution before; 0 is half the native one) nearest to the wanted resolution on a
+    scale of powers of two; None, the native resolution, up to one and a half times that."""
+    if wanted_m <= 1.5 * native_m:
+        return None
+    return min(max(round(math.log2(wanted_m / native_m)) - 1, 0), 3)
 
 
 def days_kept(granules: DataFrame, days: DataFrame) -> DataFrame:

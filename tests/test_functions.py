@@ -71,7 +71,7 @@ def test_georeference_finds_a_known_shift(spark):
         got = rasters.judge_scene(sst, water, 100.0, rule)
         assert (got["dy"], got["dx"]) == (dy, dx)
         assert got["verdict"] == ("ok" if (dy, dx) == (0, 0) else "displaced")
-    assert rasters.judge_scene(np.full((h, h), np.nan), water, 100.0, rule)["verdict"] == "rejected"
+    assert rasters.judge_scene(np.full((h, h), np.nan), water, 100.0, rule)["verdict"] == "insufficient_signal"
 
 
 def test_disc_edges_and_mask(spark, rows):
@@ -144,7 +144,7 @@ def test_order_of_parts():
 
 
 def test_small_rules(spark, rows):
-    assert [files.overview_level(10, m) for m in (5, 10, 19, 20, 45, 500)] == [0, 0, 0, 1, 2, 3]
+    assert [files.overview_level(10, m) for m in (5, 10, 19, 20, 45, 500)] == [None, None, 0, 0, 1, 3]
     d = spark.createDataFrame([("a", 0.1), ("a", 0.2), ("a", 0.3), ("a", 0.2), ("a", 99_999.0), ("b", 0.1)], "k string, v double")
     assert rows(reduce.datum_offset(d, key="k", value="v", least=4), "k", "offset_m", "status") == [("a", pytest.approx(0.2), "resolved"), ("b", None, "too few")]
     with pytest.raises(ValueError):
