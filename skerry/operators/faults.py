@@ -26,6 +26,7 @@ from skerry.operators.regular import finite
 from skerry.runtime import cut
 
 EDGE = 6  # readings that a block must know of each neighbour: an excursion has up to 3, its levels 3 each
+BEFORE, AFTER = 10, 20  # where in a block's context the readings before and after it begin
 FEW = 200_000  # sources, counted, whose block lengths are broadcast
 
 
@@ -61,6 +62,9 @@ def _distinct(t: pa.Table, starts: np.ndarray) -> tuple[pa.Table, np.ndarray]:
     if n < 2:
         return t, starts
     same = (floats(t, "t")[1:] == floats(t, "t")[:-1]) & (floats(t, "i")[1:] == floats(t, "i")[:-1])
+    if "kind" in t.column_names:
+        kind = t.column("kind").to_numpy()
+        same &= kind[1:] == kind[:-1]
     keep = np.concatenate([[True], ~same])
     keep[starts] = True
     if keep.all():
@@ -261,16 +265,18 @@ def _judge(rule: FaultRule):
             n = kind.size
             hit_at: list[np.ndarray] = []
             hit_how: list[np.ndarray] = []
-            context = t.column("context").combine_chunks()
             for s, e in zip(starts, np.append(starts[1:], n), strict=True):
-                if kind[s] or e - s < 2:
+                m = int(np.searchsorted(kind[s:e], True))  # the block's context comes first
+                if not 0 < m < e - s:
                     continue  # readings without context don't occur
-                v = v_all[s + 1 : e]
+                code, about = t_all[s : s + m], v_all[s : s + m]
+                s += m
+                v = v_all[s:e]
                 how = np.zeros(v.size, np.int8)
                 how[(v < rule.low) | (v > rule.high)] |= 1
-                own = context[int(s)].as_py()
-                b, a = np.array(own["before"], float), np.array(own["after"], float)
-                limit = rule.factor * (rule.least_step if own["step"] is None else own["step"])
+                run_before, run_after, short, step = about[code < BEFORE]
+                b, a = about[(code >= BEFORE) & (code < AFTER)], about[code >= AFTER]
+                limit = rule.factor * step
                 x = np.concatenate([b, v, a])
                 cand = np.flatnonzero(outside_ellipsoids(x, limit, rule.rounds))
                 cand = cand[(cand >= b.size) & (cand < b.size + v.size)]
@@ -278,12 +284,12 @@ def _judge(rule: FaultRule):
                 at, size = _runs(v, np.array([0]))
                 size = size.astype(np.int64)
                 total = size.copy()
-                total[0] += own["run_before"]
-                total[-1] += own["run_after"]
-                stuck = (total >= rule.stuck_len) & (total >= rule.stuck_times * own["short"])
+                total[0] += int(run_before)
+                total[-1] += int(run_after)
+                stuck = (total >= rule.stuck_len) & (total >= rule.stuck_times * short)
                 how[np.repeat(stuck, size)] |= 4
                 f = np.flatnonzero(how)
-                hit_at.append(f + s + 1)
+                hit_at.append(f + s)
                 hit_how.append(how[f])
             if not hit_at:
                 continue
@@ -317,11 +323,12 @@ def implausible_readings(readings: DataFrame, rule: FaultRule = FaultRule(), *,
     steps = summary.select("k", F.explode(F.arrays_zip("steps", "counts")).alias("h")).select("k", F.col("h.steps").alias("d"), F.col("h.counts").alias("n"))
     steps = steps.unionByName(context.where(F.col("cross").isNotNull()).select("k", F.col("cross").alias("d"), F.lit(1).cast("long").alias("n")))
     context = context.join(median_step(steps, rule.least_step), "k", "left")
-    # a block's context goes before its readings, in one column that they leave empty
-    about = F.struct("before", "after", "run_before", "run_after", "short", "step").alias("context")
-    zero = F.lit(0).cast("long")
-    both = context.select("k", "block", F.lit(False).alias("kind"), zero.alias("t"), zero.alias("i"), F.lit(0.0).alias("v"), about)
-    both = both.unionByName(r.select("k", "block", F.lit(True).alias("kind"), "t", "i", "v"), allowMissingColumns=True)
+    # a block's context goes before its readings, as rows of the same columns: a number each, told apart by their time
+    one = lambda t, v: F.struct(F.lit(t).cast("long").alias("t"), v.cast("double").alias("v"))
+    many = lambda c, t: F.transform(c, lambda v, j: F.struct((j + t).cast("long").alias("t"), v.alias("v")))
+    about = F.concat(F.array(*(one(t, F.col(c)) for t, c in enumerate(("run_before", "run_after", "short")))), F.array(one(3, F.coalesce("step", F.lit(rule.least_step)))), many("before", BEFORE), many("after", AFTER))
+    rows = context.select("k", "block", F.explode(about).alias("a")).select("k", "block", F.lit(False).alias("kind"), "a.t", F.lit(0).cast("long").alias("i"), "a.v")
+    both = rows.unionByName(r.select("k", "block", F.lit(True).alias("kind"), "t", "i", "v"))
     both = both.repartition("k", "block").sortWithinPartitions("k", "block", "kind", "t", "i")
     found = both.mapInArrow(_judge(rule), "k string, i long, t long, v double, spike boolean, stuck boolean, impossible boolean")
     return found.select(F.col("k").alias(key), F.col("i").alias(ident), F.timestamp_micros("t").alias(time), F.col("v").alias(value), "spike", "stuck", "impossible")
