@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -85,13 +87,21 @@ def _join_holes(outer: Ring, holes: list[Ring]) -> Ring:
     waiting = sorted(holes, key=lambda h: -max(h)[0])
     while waiting:
         hole = waiting.pop(0)
-        edges = [(r[k - 1], r[k]) for r in (ring, hole, *waiting) for k in range(len(r))]
+        ends = [np.array(r) for r in (ring, hole, *waiting)]
+        edges = np.concatenate([np.concatenate([np.roll(e, 1, axis=0), e], axis=1) for e in ends])
+        lo, hi = np.minimum(edges[:, :2], edges[:, 2:]), np.maximum(edges[:, :2], edges[:, 2:])
+
+        def free(p: Point, h: Point, edges=edges, lo=lo, hi=hi) -> bool:
+            """Whether no edge is crossed; only those whose boxes meet the bridge's are looked at."""
+            met = np.flatnonzero(np.all((lo <= np.maximum(p, h)) & (hi >= np.minimum(p, h)), axis=1))
+            return not any(_crosses(p, h, (x0, y0), (x1, y1)) for x0, y0, x1, y1 in edges[met].tolist())
+
         bridge = None
         for m in sorted(range(len(hole)), key=lambda k: (-hole[k][0], hole[k][1])):
             h = hole[m]
-            for v in sorted(range(len(ring)), key=lambda k: (ring[k][0] - h[0]) ** 2 + (ring[k][1] - h[1]) ** 2):
+            for v in np.argsort(((ends[0] - h) ** 2).sum(1), kind="stable").tolist():
                 p = ring[v]
-                if p == h or (_inside_corner(ring[v - 1], p, ring[(v + 1) % len(ring)], h) and not any(_crosses(p, h, c, d) for c, d in edges)):
+                if p == h or (_inside_corner(ring[v - 1], p, ring[(v + 1) % len(ring)], h) and free(p, h)):
                     bridge = v, m
                     break
             if bridge:
@@ -103,43 +113,68 @@ def _join_holes(outer: Ring, holes: list[Ring]) -> Ring:
     return ring
 
 
+def _clip(p: Ring) -> list[tuple[Point, Point, Point]]:
+    """Triangles of a counter-clockwise ring by ear clipping. A corner is an ear if no corner that isn't convex lies in its
+    triangle; these corners are kept in square cells, so only those about the triangle are looked at."""
+    n = len(p)
+    before, after = [i - 1 for i in range(n)], [(i + 1) % n for i in range(n)]
+    before[0] = n - 1
+    corner = np.array(p)
+    west, south = corner.min(0)
+    size = float(np.ptp(corner, axis=0).max()) / max(1, math.isqrt(n)) or 1.0
+    turn = [orient(p[before[i]], p[i], p[after[i]]) for i in range(n)]
+    hollow = {i for i in range(n) if turn[i] <= 0}
+    cells: dict[tuple[int, int], set[int]] = {}
+    where = [(int((x - west) / size), int((y - south) / size)) for x, y in p]
+    for i in hollow:
+        cells.setdefault(where[i], set()).add(i)
+
+    def about(i: int, j: int, k: int) -> Iterable[int]:
+        (x0, y0), (x1, y1), (x2, y2) = where[i], where[j], where[k]
+        columns, rows = range(min(x0, x1, x2), max(x0, x1, x2) + 1), range(min(y0, y1, y2), max(y0, y1, y2) + 1)
+        if len(columns) * len(rows) > len(hollow):
+            return hollow
+        return (q for x in columns for y in rows for q in cells.get((x, y), ()))
+
+    def holds(a: Point, b: Point, c: Point, s: Point) -> bool:
+        return s not in (a, b, c) and orient(a, b, s) >= 0 and orient(b, c, s) >= 0 and orient(c, a, s) >= 0
+
+    out = []
+    j, left, idle = 0, n, 0
+    while left > 3:
+        i, k = before[j], after[j]
+        a, b, c = p[i], p[j], p[k]
+        if turn[j] < 0 or turn[j] > 0 and any(holds(a, b, c, p[q]) for q in about(i, j, k)):
+            j, idle = k, idle + 1
+            if idle > left:
+                raise ValueError("the polygon's rings cross each other")
+            continue
+        if turn[j] > 0:
+            out.append((a, b, c))
+        for q in (j, i, k):
+            if q in hollow:
+                hollow.discard(q)
+                cells[where[q]].discard(q)
+        after[i], before[k] = k, i
+        left, idle = left - 1, 0
+        for q in (i, k):
+            turn[q] = orient(p[before[q]], p[q], p[after[q]])
+            if turn[q] <= 0:
+                hollow.add(q)
+                cells.setdefault(where[q], set()).add(q)
+        j = after[k]  # not its neighbour: every other corner goes first, so that triangles stay small while there are many
+    a, b, c = p[before[j]], p[j], p[after[j]]
+    if orient(a, b, c) > 0:
+        out.append((a, b, c))
+    return out
+
+
 def triangulate(polygon: list[Ring]) -> np.ndarray:
     """Triangles (n, 3, 2), counter-clockwise, of a polygon with holes, by ear clipping. Rings may run either way round."""
     outer = polygon[0] if area2(polygon[0]) > 0 else polygon[0][::-1]
     holes = [h if area2(h) < 0 else h[::-1] for h in polygon[1:]]
     want = area2(outer) + sum(map(area2, holes))
-    p = _join_holes(outer, holes)
-    out: list[tuple[Point, Point, Point]] = []
-    live = list(range(len(p)))
-    k, idle = 0, 0
-    while len(live) > 3:
-        n = len(live)
-        i, j, m = live[(k - 1) % n], live[k % n], live[(k + 1) % n]
-        a, b, c = p[i], p[j], p[m]
-        turn = orient(a, b, c)
-        ear = turn == 0
-        if turn > 0:
-            ear = True
-            for q in live:
-                s = p[q]
-                if s == a or s == b or s == c:
-                    continue
-                if orient(a, b, s) >= 0 and orient(b, c, s) >= 0 and orient(c, a, s) >= 0:
-                    ear = False
-                    break
-        if ear:
-            if turn > 0:
-                out.append((a, b, c))
-            live.pop(k % n)
-            k, idle = (k % n) - 1, 0
-        else:
-            k, idle = k + 1, idle + 1
-            if idle > n:
-                raise ValueError("the polygon's rings cross each other")
-    a, b, c = (p[i] for i in live)
-    if orient(a, b, c) > 0:
-        out.append((a, b, c))
-    tri = np.array(out, float).reshape(-1, 3, 2)
+    tri = np.array(_clip(_join_holes(outer, holes)), float).reshape(-1, 3, 2)
     got = float(np.sum((tri[:, 1, 0] - tri[:, 0, 0]) * (tri[:, 2, 1] - tri[:, 0, 1]) - (tri[:, 1, 1] - tri[:, 0, 1]) * (tri[:, 2, 0] - tri[:, 0, 0])))
     if abs(got - want) > 1e-9 * max(1.0, abs(want)):
         raise ValueError("the triangles don't cover the polygon")

@@ -102,8 +102,7 @@ def _corners(t: pa.Table) -> np.ndarray:
 def _locate(tri: np.ndarray, names: list[str]):
     """A map over batches (id, lat, lon) to (id, region)."""
     order = sorted(set(names))
-    code = np.array([order.index(x) for x in order], np.int64)
-    at = dict(zip(order, code, strict=True))
+    at = {x: k for k, x in enumerate(order)}
     region = np.array([at[x] for x in names], np.int64)
     tree = T.Boxes.build(T.tri_boxes(tri))
 
