@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 
 from skerry.batches import floats, list_array, whole_groups
 from skerry.operators.regular import finite
-from skerry.runtime import cut
+from skerry.runtime import beside_key, block_lengths, cut
 
 EDGE = 6  # readings that a block must know of each neighbour: an excursion has up to 3, its levels 3 each
 BEFORE, AFTER = 10, 20  # where in a block's context the readings before and after it begin
-FEW = 200_000  # sources, counted, whose block lengths are broadcast
 
 
 @dataclass(frozen=True)
@@ -313,9 +312,7 @@ def implausible_readings(readings: DataFrame, rule: FaultRule = FaultRule(), *,
     """
     r = readings.select(F.col(key).cast("string").alias("k"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col(ident).cast("long").alias("i"), F.col(value).cast("double").alias("v"))
     r = r.where(F.col("k").isNotNull() & F.col("t").isNotNull() & F.col("i").isNotNull() & finite(F.col("v")))
-    span = (F.max("t") - F.min("t") + 1) / F.count("*")
-    size = cut(r.groupBy("k").agg(F.ceil(span * rule.block_rows).cast("long").alias("size")))
-    r = r.join(F.broadcast(size) if size.count() <= FEW else size, "k").withColumn("block", F.floor(F.col("t") / F.col("size"))).drop("size")
+    r = beside_key(r, block_lengths(r, rule.block_rows).drop("n")).withColumn("block", F.floor(F.col("t") / F.col("size"))).drop("size")
     order = ["k", "block", "t", "i"]
     blocks = r.select(*order, "v").repartition("k", "block").sortWithinPartitions(*order)
     summary = cut(blocks.mapInArrow(_summarise(rule), SUMMARY))

@@ -767,8 +767,8 @@ def user_observations(spark: SparkSession, d: str) -> DataFrame:
 def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     schema = table(spark, d, "obs").schema
     s = streaming.stream_of(spark, f"{d}/obs.parquet*", schema)
-    # all of the history at once: nothing is late
-    out = streaming.drain(streaming.windowed(s, late="36500 days"), "skerry_stream_hourly")
+    # readings come up to two months late; what is later than that would be left out
+    out = streaming.drain(streaming.windowed(s, late="60 days"), ["station_id", "start"])
     return out.withColumn("mean", rnd("mean", 6))
 
 

@@ -39,9 +39,8 @@ def ints(column: pa.Array, empty: int = 0) -> np.ndarray:
 def _numbers(field: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Plain decimal numbers as doubles (NaN elsewhere), and which are."""
     ok = pc.match_substring_regex(field, NUMBER).to_numpy(zero_copy_only=False)
-    text = pc.if_else(pa.array(ok), field, "nan")
-    # float() takes every form that NUMBER lets through; numbers too large become infinite
-    return np.array([float(x) for x in text.to_pylist()], float), ok
+    # the cast takes every form that NUMBER lets through; numbers too large become infinite
+    return pc.cast(pc.if_else(pa.array(ok), field, "nan"), pa.float64()).to_numpy(zero_copy_only=False), ok
 
 
 def _times(field: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,10 +71,11 @@ def _structure(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Table]:
         rejected.append(row.number - 1)
         return "skip"
 
-    data = pc.binary_join(pa.array([safe.to_pylist()], pa.list_(pa.string())), "\n")[0].as_py().encode() + b"\n"
+    every = pa.ListArray.from_arrays(pa.array([0, len(safe), len(safe)], pa.int32()), pa.concat_arrays([safe, pa.array([""])]))
+    data = pc.binary_join(every.slice(0, 1), "\n")[0].as_buffer()
     fields = pacsv.read_csv(
         pa.BufferReader(data),
-        read_options=pacsv.ReadOptions(column_names=FIELDS, use_threads=False, block_size=len(data) + 1),
+        read_options=pacsv.ReadOptions(column_names=FIELDS, use_threads=False, block_size=data.size + 1),
         parse_options=pacsv.ParseOptions(invalid_row_handler=refuse, ignore_empty_lines=False),
         convert_options=pacsv.ConvertOptions(column_types=dict.fromkeys(FIELDS, pa.string()), strings_can_be_null=False),
     )

@@ -59,7 +59,7 @@ def test_streams(spark, rows, tmp_path):
     src = str(tmp_path / "in")
     df = spark.createDataFrame([(1, "a", "2024-01-01 00:10:00", 1.0), (1, "a", "2024-01-01 00:10:00", 1.0), (2, "a", "2024-01-01 00:50:00", 3.0), (3, "a", "2024-01-01 01:10:00", float("nan")), (4, "b", "2024-01-01 01:20:00", 5.0)], "obs_id long, station_id string, time string, value double").withColumn("time", F.col("time").cast("timestamp"))
     df.write.parquet(src)
-    out = readings.drain(readings.windowed(readings.stream_of(spark, src, df.schema)), "test_windows")
+    out = readings.drain(readings.windowed(readings.stream_of(spark, src, df.schema)), ["station_id", "start"])
     assert rows(out.select("station_id", F.hour("start"), "n", "mean")) == [("a", 0, 2, 2.0), ("b", 1, 1, 5.0)]
     s = readings.stream_of(spark, src, df.schema).withColumn("day", F.to_date("time").cast("string"))
     for k in range(2):  # a new checkpoint does all batches again
