@@ -8,7 +8,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_US = 10 * 86_400_000_000
+from skerry.runtime import beside_key, block_lengths
+
+ROWS_PER_GROUP = 200_000  # rows of both tables that a task holds at once, about
 
 
 def _codes(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +74,7 @@ def match_nearest(
     left_keys: tuple[str, str, str] = ("overpass_id", "station_id", "time"),
     right_keys: tuple[str, str, str] = ("obs_id", "station_id", "time"),
     right_ok: Column | None = None,
-    block_us: int = BLOCK_US,
+    block_rows: int = 10_000,
     groups: int | None = None,
 ) -> DataFrame:
     """For each left id the nearest right row of the same entity: ``left id, right id, dt_us`` (right minus left time).
@@ -82,25 +84,29 @@ def match_nearest(
     entity don't count; a left id given again counts once if entity and time are the same (else its nearest partner of
     all is kept). Right rows where ``right_ok`` isn't true take no part. Either table may be empty; other columns are not looked at.
 
-    Both tables are co-grouped by a hash of (entity, time range of ``block_us``), right rows within the tolerance of a range's
-    edge also going to the range beyond, so that each group is complete in itself and a hot entity spreads over all groups. In
-    a group, neighbours are found by vectorised binary search. ``groups`` (default: 8 for each shuffle partition) bounds
-    what a task holds at once.
+    Both tables are co-grouped by a hash of (entity, time range), right rows within the tolerance of a range's edge also going to
+    the range beyond, so that each group is complete in itself and a hot entity spreads over all groups. An entity's ranges
+    are as long as hold about ``block_rows`` of its rows of both tables (more than twice the tolerance, so that a row goes to two
+    at most), and there are so many groups (default: by the rows, counted) that each holds about 200,000 rows, however
+    many the tables have. In a group, neighbours are found by vectorised binary search.
     """
     spark = left.sparkSession
-    groups = groups or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     tol = int(tolerance_s * 1_000_000)
-    if block_us <= 2 * tol:
-        block_us = 2 * tol + 1  # then a row goes to two ranges at most
 
     def rows(df: DataFrame, keys: tuple[str, str, str]) -> DataFrame:
         ident, entity, time = (df[c] for c in keys)
         r = df.select(ident.cast("long").alias("i"), F.trim(F.translate(entity.cast("string"), "\t", " ")).alias("k"), F.unix_micros(time.cast("timestamp")).alias("t"))
         return r.where(F.col("i").isNotNull() & F.col("k").isNotNull() & F.col("t").isNotNull())
 
-    size = F.lit(block_us)
-    at = rows(left, left_keys).dropDuplicates(["i", "k", "t"]).withColumn("block", F.floor(F.col("t") / size))
+    at = rows(left, left_keys)
     of = rows(right if right_ok is None else right.where(right_ok), right_keys)
+    lengths = block_lengths(at.select("k", "t").unionByName(of.select("k", "t")), block_rows, 2 * tol + 1)
+    if groups is None:
+        total = lengths.agg(F.sum("n")).first()[0] or 0
+        groups = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_GROUP))
+    size = F.col("size")
+    at = beside_key(at.dropDuplicates(["i", "k", "t"]), lengths.drop("n")).withColumn("block", F.floor(F.col("t") / size))
+    of = beside_key(of, lengths.drop("n"))
     a, b = F.floor((F.col("t") - tol) / size), F.floor((F.col("t") + tol) / size)
     of = of.withColumn("block", F.explode(F.when(a == b, F.array(a)).otherwise(F.array(a, b))))
     group = F.pmod(F.xxhash64("k", "block"), F.lit(groups)).alias("g")
