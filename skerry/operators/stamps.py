@@ -9,6 +9,7 @@ that of one run over the whole source.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,7 +76,10 @@ def _zone_offsets(text: pa.Array, feed_zones: np.ndarray) -> tuple[np.ndarray, l
         else:
             for tz in filter(zones.known, set(feed_zones[own])):
                 here = own & (feed_zones == tz)
-                for j, off in enumerate(zones.abbreviations(tz).get(up, ())[:2]):
+                offsets = zones.abbreviations(tz).get(up, ())
+                if len(offsets) > len(slots):
+                    raise ValueError(f"{up} stands for {len(offsets)} offsets in {tz}; there is room for {len(slots)}")
+                for j, off in enumerate(offsets):
                     slots[j][here], ok[j, here] = off, True
     return given, slots, ok
 
@@ -92,9 +96,8 @@ def readings_of(stamps: pa.Array, feed_zones: np.ndarray, orders: np.ndarray) ->
         fresh = (us[rows] != micros[:, None]).all(1)
         rows, micros = rows[fresh], micros[fresh]
         slot = (us[rows] != NONE).sum(1)
-        keep = slot < 4
-        us[rows[keep], slot[keep]] = micros[keep]
-        code[rows[keep], slot[keep]] = c
+        us[rows, slot] = micros  # two orders of day and month by two offsets: four at most
+        code[rows, slot] = c
 
     def put_wall(rows: np.ndarray, c: int, wall: np.ndarray, frac: np.ndarray) -> None:
         for tz in filter(zones.known, set(feed_zones[rows])):
@@ -164,46 +167,88 @@ def readings_of(stamps: pa.Array, feed_zones: np.ndarray, orders: np.ndarray) ->
 
 
 def _cost(rule: StampRule, c0: np.ndarray, u0: np.ndarray, c1: np.ndarray, u1: np.ndarray) -> np.ndarray:
-    """Costs from each reading of a row to each of the next."""
-    return rule.switch * (c0[:, None] != c1[None, :]) + rule.backward * (u0[:, None] > u1[None, :])
+    """Costs from each reading of a row to each of the next; leading axes are rows."""
+    return rule.switch * (c0[..., :, None] != c1[..., None, :]) + rule.backward * (u0[..., :, None] > u1[..., None, :])
 
 
-def _forward(rule: StampRule, code: np.ndarray, us: np.ndarray, m: np.ndarray, a: int, b: int, cost: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Costs at row b from costs at row a (one row of ``cost`` a start), and the backward pointers of the first start."""
-    back = []
-    for i in range(a, b):
-        step = cost[:, :, None] + _cost(rule, code[i, : m[i]], us[i, : m[i]], code[i + 1, : m[i + 1]], us[i + 1, : m[i + 1]])[None]
-        back.append(step[0].argmin(0))
-        cost = step.min(1)
-    return cost, back
+def _steps(rule: StampRule, code: np.ndarray, us: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The costs (rows - 1, 4, 4) between all neighbouring rows; infinite to and from empty slots."""
+    out = _cost(rule, code[:-1], us[:-1], code[1:], us[1:])
+    slot = np.arange(code.shape[1])
+    out[~((slot < m[:-1, None])[:, :, None] & (slot < m[1:, None])[:, None, :])] = np.inf
+    return out
+
+
+def _in_blocks(steps: np.ndarray) -> np.ndarray:
+    """The steps as (blocks, about the root of their number, 4, 4), filled up with steps that change nothing."""
+    n, k = steps.shape[:2]
+    long = max(1, math.isqrt(n))
+    fill = np.tile(np.where(np.eye(k, dtype=bool), 0.0, np.inf), (-n % long, 1, 1))
+    return np.concatenate([steps, fill]).reshape(-1, long, k, k)
+
+
+def _product(blocks: np.ndarray) -> np.ndarray:
+    """The least costs through each block, all blocks at once."""
+    out = blocks[:, 0]
+    for j in range(1, blocks.shape[1]):
+        out = (out[:, :, :, None] + blocks[:, j, None, :, :]).min(2)
+    return out
+
+
+def _some(m: np.ndarray) -> np.ndarray:
+    """The rows that the choice depends on: those of several readings with their neighbours, and the ends."""
+    many = m > 1
+    near = many.copy()
+    near[1:] |= many[:-1]
+    near[:-1] |= many[1:]
+    near[[0, -1]] = True
+    return np.flatnonzero(near)
 
 
 def _transfer(rule: StampRule, code: np.ndarray, us: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Costs from each reading of the first row to each of the last, up to a constant."""
-    sure = np.flatnonzero(m == 1)
-    start = np.where(np.eye(m[0], dtype=bool), 0.0, np.inf)
-    if not sure.size:
-        return _forward(rule, code, us, m, 0, m.size - 1, start)[0]
-    head, _ = _forward(rule, code, us, m, 0, int(sure[0]), start)
-    tail, _ = _forward(rule, code, us, m, int(sure[-1]), m.size - 1, np.zeros((1, 1)))
-    return head + tail  # between rows of one reading the costs don't depend on the ends
+    own = _some(m)
+    if own.size == 1:
+        return np.where(np.eye(m[0], dtype=bool), 0.0, np.inf)
+    cost = _steps(rule, code[own], us[own], m[own])
+    while cost.shape[0] > 1:
+        cost = _product(_in_blocks(cost) if cost.shape[0] > 16 else cost[None])
+    return cost[0][: m[0], : m[-1]]
 
 
 def _decode(rule: StampRule, code: np.ndarray, us: np.ndarray, m: np.ndarray, first: int, last: int) -> np.ndarray:
-    """The chosen reading of each row, its ends given."""
+    """The chosen reading of each row, its ends given: the path of least cost, of equal ones that with the earlier readings,
+    compared from the last row back.
+
+    The steps lie in blocks; the costs at the blocks' starts follow from the products of the blocks, then all blocks run
+    forward together, and back from each of their possible ends.
+    """
     pick = np.zeros(m.size, np.int64)
     pick[0], pick[-1] = first, last
-    fixed = m == 1
-    fixed[0] = fixed[-1] = True
-    at = np.flatnonzero(fixed)
-    for a, b in zip(at[:-1], at[1:], strict=True):
-        if b - a < 2:
-            continue
-        start = np.full((1, m[a]), np.inf)
-        start[0, pick[a]] = 0
-        _, back = _forward(rule, code, us, m, int(a), int(b), start)
-        for i in range(b, a, -1):
-            pick[i - 1] = back[i - a - 1][pick[i]]
+    own = _some(m)
+    if own.size < 3:
+        return pick
+    blocks = _in_blocks(_steps(rule, code[own], us[own], m[own]))
+    count, long, k = blocks.shape[:3]
+    enter = np.full((count, k), np.inf)
+    enter[0, first] = 0.0
+    for b, through in enumerate(_product(blocks)[:-1]):
+        enter[b + 1] = (enter[b][:, None] + through).min(0)
+    back = np.empty((count, long, k), np.int8)
+    cost = enter
+    for j in range(long):
+        total = cost[:, :, None] + blocks[:, j]
+        back[:, j], cost = total.argmin(1), total.min(1)
+    at = np.empty((count, long, k), np.int8)  # the reading of each row, for each end of its block
+    state = np.tile(np.arange(k), (count, 1))
+    for j in range(long - 1, -1, -1):
+        state = np.take_along_axis(back[:, j], state, 1)
+        at[:, j] = state
+    chosen = np.empty((count, long), np.int64)
+    for b in range(count - 1, -1, -1):
+        chosen[b] = at[b, :, last]
+        last = int(chosen[b, 0])
+    pick[own[:-1]] = chosen.ravel()[: own.size - 1]
     return pick
 
 

@@ -144,3 +144,38 @@ def test_rows_of_any_kind(spark, rows):
     assert rows(unambiguous_instants(df, feeds)) == [(1, 1700000000 * S), (2, 1704067200 * S), (3, 1704067200 * S)]
     assert normalise_stamps(df, feeds).count() == 5
     assert unambiguous_instants(df.limit(0), feeds.limit(0)).count() == 0
+
+
+def sequential(rule, code, us, m, first, last):
+    """The Viterbi algorithm row by row."""
+    from skerry.operators.stamps import _cost
+
+    cost = np.where(np.arange(m[0]) == first, 0.0, np.inf)
+    back = []
+    for i in range(m.size - 1):
+        step = cost[:, None] + _cost(rule, code[i, : m[i]], us[i, : m[i]], code[i + 1, : m[i + 1]], us[i + 1, : m[i + 1]])
+        back.append(step.argmin(0))
+        cost = step.min(0)
+    pick = [last]
+    for p in reversed(back):
+        pick.append(int(p[pick[-1]]))
+    return np.array(pick[::-1]), cost
+
+
+@pytest.mark.parametrize("n,share", [(1, 1), (2, 1), (3, 0.5), (17, 1), (40, 0.3), (500, 1), (2000, 0.6), (2000, 0.02)])
+def test_viterbi_in_blocks_is_that_of_row_by_row(n, share):
+    from skerry.operators.stamps import StampRule, _decode, _transfer
+
+    rnd, rule = np.random.default_rng(n), StampRule()
+    for _ in range(5):
+        m = np.where(rnd.random(n) < share, rnd.integers(1, 5, n), 1)
+        code = rnd.integers(0, 3, (n, 4)).astype(np.int16)
+        us = rnd.integers(0, 50, (n, 4)) + np.arange(n)[:, None]
+        for a in range(m[0]):
+            through = _transfer(rule, code, us, m)
+            for b in range(m[-1]):
+                if n == 1 and a != b:
+                    continue
+                want, cost = sequential(rule, code, us, m, a, b)
+                assert (_decode(rule, code, us, m, a, b) == want).all()
+                assert np.isclose(through[a] - through[a].min(), cost - cost.min()).all() or n == 1
