@@ -48,6 +48,18 @@ def utm_epsg(lat: Column, lon: Column) -> Column:
 
 def utm_forward(lat: Column, lon: Column, zone: Column, south: Column) -> tuple[Column, Column]:
     """Easting and northing in metres, by the Krüger series to the sixth order in n (sub-millimetre within a zone)."""
+    x, y = _utm(lat, lon - (zone * 6 - 183), F)
+    return x, F.when(south, F.lit(10_000_000.0)).otherwise(F.lit(0.0)) + y
+
+
+def utm_point(lat: float, lon: float, epsg: int) -> tuple[float, float]:
+    """Easting and northing of one place in a UTM zone given by its EPSG code."""
+    x, y = _utm(lat, lon - (epsg % 100 * 6 - 183), math)
+    return x, y + (10_000_000.0 if epsg // 100 == 327 else 0.0)
+
+
+def _utm(lat, lam_deg, fn):
+    """Easting and northing north of the equator, of columns (``fn``: Spark's functions) or numbers (``math``)."""
     n = WGS84_F / (2 - WGS84_F)
     a_r = WGS84_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
     # coefficients of the series in powers of the third flattening
@@ -59,15 +71,15 @@ def utm_forward(lat: Column, lon: Column, zone: Column, south: Column) -> tuple[
         34729 * n**5 / 80640 - 3418889 * n**6 / 1995840,
         212378941 * n**6 / 319334400,
     )
-    phi, lam = F.radians(lat), F.radians(lon - (zone * 6 - 183))
+    phi, lam = fn.radians(lat), fn.radians(lam_deg)
     e = math.sqrt(WGS84_F * (2 - WGS84_F))
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+    t = fn.sinh(fn.atanh(fn.sin(phi)) - e * fn.atanh(e * fn.sin(phi)))
+    xi, eta = fn.atan2(t, fn.cos(lam)), fn.atanh(fn.sin(lam) / fn.sqrt(1 + t * t))
     x, y = eta, xi
     for k, c in enumerate(alpha, 1):
-        y = y + F.lit(c) * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        x = x + F.lit(c) * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
-    return F.lit(UTM_E0) + F.lit(UTM_K0 * a_r) * x, F.when(south, F.lit(10_000_000.0)).otherwise(F.lit(0.0)) + F.lit(UTM_K0 * a_r) * y
+        y = y + c * fn.sin(2 * k * xi) * fn.cosh(2 * k * eta)
+        x = x + c * fn.cos(2 * k * xi) * fn.sinh(2 * k * eta)
+    return UTM_E0 + UTM_K0 * a_r * x, UTM_K0 * a_r * y
 
 
 @dataclass(frozen=True)
@@ -97,3 +109,20 @@ def snapped_grid(west: float, south: float, east: float, north: float, res: floa
     x0, x1 = math.floor(west / res) * res, math.ceil(east / res) * res
     y0, y1 = math.ceil(north / res) * res, math.floor(south / res) * res
     return Grid(x0, y0, res, round((y0 - y1) / res), round((x1 - x0) / res))
+
+
+def area_grid(lat: float, box: tuple[float, float, float, float], res: float, *, epsg: int | None = None, snap: bool = True) -> tuple[int, Grid]:
+    """EPSG code and grid of an area: its box (west, south, east, north) projected by its corners into the UTM zone of its middle (or
+    the one given), the edges moved outward to multiples of the cell size. A box across 180 degrees has no one zone: an error."""
+    west, south, east, north = box
+    if west > east:
+        raise ValueError("the area crosses 180 degrees, so no one UTM zone holds it")
+    if epsg is None:
+        epsg = (32600 if lat >= 0 else 32700) + math.floor(((west + east) / 2 + 180) / 6) + 1
+    if epsg // 100 not in (326, 327):
+        raise ValueError(f"not a UTM zone: EPSG {epsg}")
+    corners = [utm_point(y, x, epsg) for y in (south, north) for x in (west, east)]
+    xs, ys = zip(*corners, strict=True)
+    if snap:
+        return epsg, snapped_grid(min(xs), min(ys), max(xs), max(ys), res)
+    return epsg, Grid(min(xs), max(ys), res, round((max(ys) - min(ys)) / res), round((max(xs) - min(xs)) / res))

@@ -90,6 +90,18 @@ def same_schema(got: DataFrame, census: DataFrame) -> None:
         raise ValueError(f"channels differ: missing {sorted(set(b) - set(a))}, new {sorted(set(a) - set(b))}, changed {sorted(c for c in a if c in b and a[c] != b[c])}")
 
 
+def day_blocks(df: DataFrame, start: str, days: int, day: str = "day") -> DataFrame:
+    """Rows of the same ``days`` days in one partition, so that a table is written in files of whole days; adaptive execution
+    may split none of them, and a block is as large as its days."""
+    block = F.floor(F.datediff(F.col(day), F.to_date(F.lit(start))) / days)
+    return df.withColumn("_block", block).repartition("_block").drop("_block")
+
+
+def block_days(df: DataFrame, grid: Grid, budget_bytes: int) -> int:
+    """How many days of a dense cube fit in a budget, at least one."""
+    return max(1, budget_bytes // max(bytes_per_day(df, grid), 1))
+
+
 def bytes_per_day(df: DataFrame, grid: Grid, keys: tuple[str, ...] = ("day", "row", "col")) -> int:
     """Size of a day of a dense cube."""
     size = {"double": 8, "float": 4, "bigint": 8, "int": 4, "smallint": 2, "tinyint": 1, "boolean": 1, "date": 4, "timestamp": 8}

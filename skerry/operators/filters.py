@@ -70,10 +70,10 @@ def sigma_fit(values: DataFrame, *, keys: list[str], value: str, day: str, harmo
     return g.withColumn("sigma", F.sqrt(F.col("_ssr") / F.greatest(F.col("n") - k, F.lit(1)))).drop("_ssr")
 
 
-def cutoff(n_sigma: float, day: Column, harmonic: bool) -> Column:
-    """Fitted value less ``n_sigma`` sigma, from columns b0.. and sigma."""
+def cutoff(n_sigma: float, day: Column, harmonic: bool, pre: str = "") -> Column:
+    """Fitted value less ``n_sigma`` sigma, from columns b0.. and sigma (with ``pre`` before their names)."""
     x = design(day, harmonic)
-    return sum((c * F.col(f"b{i}") for i, c in enumerate(x[1:], 1)), x[0] * F.col("b0")) - n_sigma * F.col("sigma")
+    return sum((c * F.col(f"{pre}b{i}") for i, c in enumerate(x[1:], 1)), x[0] * F.col(f"{pre}b0")) - n_sigma * F.col(f"{pre}sigma")
 
 
 def fold_drop(df: DataFrame, dropped: Column, name: str, *, value: str = "sst", valid: str = "valid", mask: bool = True) -> DataFrame:
@@ -99,15 +99,20 @@ def sigma_filter(df: DataFrame, fit: DataFrame, *, keys: list[str], n_sigma: flo
     return fold_drop(j, F.col(value) < cutoff(n_sigma, F.col(day), harmonic), "sigma_flag", value=value).drop(*betas)
 
 
+def scene_cover(df: DataFrame, *, pct: str, water: str | None, keys: tuple[str, ...] = ("day",)) -> DataFrame:
+    """``*keys, scene_cloud_pct``: mean cloud over water, over all cells where no cell of the scene is water or there is no mask."""
+    on_water = F.col(water) > 0 if water else F.lit(True)
+    mean = df.groupBy(*keys).agg(F.avg(F.when(flag(on_water), F.col(pct))).alias("_w"), F.avg(pct).alias("_a"), F.max(flag(on_water)).alias("_any"))
+    return mean.select(*keys, F.when(F.col("_any"), F.col("_w")).otherwise(F.col("_a")).alias("scene_cloud_pct"))
+
+
 def cover_gate(df: DataFrame, *, pct: str = "cloud_pct", scene_max: float | None = 30.0, pixel_max: float | None = 80.0, water: str | None = "water", keys: tuple[str, ...] = ("day",), value: str = "sst") -> DataFrame:
     """Drop whole scenes whose mean cloud over water (over all cells where no cell of the scene is water) is above ``scene_max``, and
     pixels above ``pixel_max``; None or 100 and more disables a gate. Emits ``scene_cloud_pct``.
 
     The scene mean is a small aggregate that is joined back, not a window over whole scenes.
     """
-    on_water = F.col(water) > 0 if water else F.lit(True)
-    mean = df.groupBy(*keys).agg(F.avg(F.when(flag(on_water), F.col(pct))).alias("_w"), F.avg(pct).alias("_a"), F.max(flag(on_water)).alias("_any"))
-    mean = mean.select(*keys, F.when(F.col("_any"), F.col("_w")).otherwise(F.col("_a")).alias("scene_cloud_pct"))
+    mean = scene_cover(df, pct=pct, water=water, keys=keys)
     off = lambda g: g is None or g >= 100
     scene = F.lit(False) if off(scene_max) else flag(F.col("scene_cloud_pct") > scene_max)
     pixel = F.lit(False) if off(pixel_max) else flag(F.col(pct) > pixel_max)

@@ -12,6 +12,7 @@ from typing import Any
 
 from skerry.functions.geo import KM_PER_DEGREE
 from skerry.functions.values import PERCENTILE, STATS
+from skerry.plans import products
 
 
 class SettingsError(ValueError):
@@ -65,7 +66,7 @@ class Sensor:
     versions: tuple[str, ...] = ()
 
 
-#: The sensors known by default.
+#: The sensors known by default and how their layers are read.
 SENSORS = (
     Sensor("eco", water_is_land=True, use_cloud=False, qc_levels=(0, 1), mosaic=True),
     Sensor("lst", mosaic=True),
@@ -95,17 +96,23 @@ class Channel:
             raise SettingsError(f"{self.name}: the radius is not used by 'nearest'")
 
 
-#: Options of each step with their defaults.
+#: Options of each step with their defaults.
 STEPS: dict[str, dict[str, Any]] = {
-    "water_line": {"dem_source": None, "tide_source": None, "sensors": None, "datum_offset_m": 0.0},
-    "fill_water": {"sources": ["mur_sst"], "mask_channel": "landcover_water"},
-    "filter_clouds": {"method": "offset", "threshold_k": 5.0, "n_sigma": 3.0, "baseline": "mur_sst", "stat_scope": "pixel", "seasonality": "off", "sensors": ["eco"]},
-    "filter_cloud_cover": {"scene_max_pct": 30.0, "pixel_max_pct": 80.0, "sensors": ["eco"], "source": "auto", "water_mask_channel": "landcover_water"},
-    "filter_land_clouds": {"threshold_k": 5.0, "sensors": ["eco"], "mask_channel": "landcover_water"},
-    "flag_georef": {"tol_m": 200.0, "max_shift_m": 10_000.0, "min_coast": 500, "min_edges": 300},
-    "correct_georef": {"fields": ["sst", "valid"]},
+    "water_line": {"dem_source": None, "tide_source": None, "sensors": None},
+    "fill_water": {"sources": None, "mask_channel": "landcover_water"},
+    "filter_clouds": {"method": "offset", "threshold_k": 5.0, "n_sigma": 3.0, "baseline": "mur_sst", "stat_scope": "pixel", "seasonality": "off", "sensors": ["eco"], "mask_sst": True, "use_cloud_raster": False},
+    "filter_cloud_cover": {"scene_max_pct": 30.0, "pixel_max_pct": 80.0, "sensors": ["eco"], "source": "auto", "water_mask_channel": "landcover_water", "mask_sst": True},
+    "filter_land_clouds": {"threshold_k": 5.0, "sensors": ["eco"], "source": "auto", "land_source": "landcover", "mask_channel": "landcover_water", "mask_sst": True},
+    "flag_georef": {"sensors": ["eco"], "tol_m": 200.0, "max_shift_m": 10_000.0, "coarse_stride": 4, "n_refine": 8, "sigma": 1.5, "lo_pct": 80.0, "hi_pct": 97.0, "min_coast_obs": 500, "min_valid_pct": 2.0, "min_edges": 300, "z_min": 4.5, "lift_min": 2.5, "gain_min": 0.1, "ok_shift_m": 300.0, "stability_windows_km": [5.0, 10.0, 20.0, 30.0]},
+    "correct_georef": {"sensors": ["eco"], "fields": ["sst", "valid"], "fill": None},
 }
-STEP_NEEDS = {"correct_georef": ("flag_georef",)}
+#: The filters again on corrected geometry: they have the options of the filter that they repeat, unless given others.
+CORRECTED = {f"{name}_corrected": name for name in ("filter_clouds", "filter_cloud_cover", "filter_land_clouds")}
+STEPS |= {name: STEPS[base] for name, base in CORRECTED.items()}
+#: Steps that must be chosen with a step, and steps that go before it where they are chosen.
+STEP_REQUIRES = {"correct_georef": ("flag_georef",), **{name: ("correct_georef",) for name in CORRECTED}}
+STEP_NEEDS = {"filter_clouds": ("fill_water",), "filter_land_clouds": ("water_line",), "flag_georef": ("filter_clouds", "filter_cloud_cover", "filter_land_clouds"), "correct_georef": ("flag_georef",), **{name: ("correct_georef",) for name in CORRECTED}}
+CHOICES = {"method": ("offset", "sigma"), "stat_scope": ("pixel", "pooled"), "seasonality": ("off", "harmonic"), "land_source": ("landcover", "water_line")}
 
 
 @dataclass(frozen=True)
@@ -116,6 +123,14 @@ class Project:
     start: str
     end: str
     resolution_m: float = 100.0
+    target_crs: str = "auto"
+    snap_origin: bool = True
+    met_time: str = "reference"
+    insitu: bool = True
+    block_days: int | None = None
+    jobs: int = 1
+    products: dict[str, dict[str, Any]] = field(default_factory=dict)
+    regions: dict[str, dict[str, dict[str, Any]]] = field(default_factory=dict)
     inputs: dict[str, str] = field(default_factory=dict)
     sensors: tuple[Sensor, ...] = SENSORS
     insitu_max_dt_min: float = 60.0
@@ -125,8 +140,15 @@ class Project:
     output: str = "out"
 
     def step(self, name: str, area: str | None = None) -> dict[str, Any]:
-        """A step's options: defaults, the project's, then the area's."""
-        return STEPS[name] | self.steps.get(name, {}) | self.overrides.get(area or "", {}).get(name, {})
+        """A step's options: defaults, the project's, then the area's; those of a repeated filter before the repetition's own."""
+        own = self.overrides.get(area or "", {})
+        base = CORRECTED.get(name)
+        first = self.steps.get(base, {}) | own.get(base, {}) if base else {}
+        return STEPS[name] | first | self.steps.get(name, {}) | own.get(name, {})
+
+    def product(self, name: str, area: str | None = None) -> dict[str, Any]:
+        """A product's options: defaults, the project's, then the area's."""
+        return products.PRODUCTS[name].options | self.products.get(name, {}) | self.regions.get(area or "", {}).get(name, {})
 
     def fingerprint(self) -> str:
         return hashlib.sha256(json.dumps(dataclasses.asdict(self), sort_keys=True, default=str).encode()).hexdigest()
@@ -141,7 +163,7 @@ class Project:
         return tuple(a for a in self.areas if a.name in names)
 
 
-INPUTS = ("scenes", "daily", "static", "series", "stations", "readings", "points", "met")
+INPUTS = ("scenes", "daily", "static", "bathymetry", "datum", "series", "stations", "readings", "points", "met", "snapshots", "ocean")
 
 
 def parse(data: dict[str, Any]) -> Project:
@@ -175,7 +197,20 @@ def parse(data: dict[str, Any]) -> Project:
                 faults.append(f"{where}: unknown step {nearest_name(name, list(STEPS))}")
             else:
                 faults += [f"{where}.{name}: unknown {nearest_name(k, list(STEPS[name]))}" for k in opts if k not in STEPS[name]]
+                faults += [f"{where}.{name}: unknown {k} {nearest_name(str(v), list(CHOICES[k]))}" for k, v in opts.items() if k in CHOICES and v not in CHOICES[k]]
+    for name in data.get("steps", {}):
+        faults += [f"{name} needs {d}" for d in STEP_REQUIRES.get(name, ()) if d not in data["steps"]]
+    faults += products.faults(data.get("products", {}), "products", nearest_name)
+    for region, bags in data.get("regions", {}).items():
+        faults += products.faults(bags, f"regions.{region}", nearest_name, regional=True)
+        if region not in [x.name for x in areas]:
+            faults.append(f"regions: no area {nearest_name(region, [x.name for x in areas])}")
+    if data.get("met_time", "reference") not in ("reference", "daily_mean"):
+        faults.append(f"unknown met_time {nearest_name(str(data['met_time']), ['reference', 'daily_mean'])}")
     prefixes = [s.prefix for s in sensors]
+    for where, bags in (("products", data.get("products", {})), *((f"regions.{r}", b) for r, b in data.get("regions", {}).items())):
+        for product, key in (("met_overpass", "combinations"), ("tides", "overpass_combinations")):
+            faults += [f"{where}.{product}: no sensor {nearest_name(str(p[0]), prefixes)}" for p in bags.get(product, {}).get(key) or () if len(p) == 2 and p[0] not in prefixes]
     for name, opts in data.get("steps", {}).items():
         faults += [f"{name}: no sensor {nearest_name(s, prefixes)}" for s in opts.get("sensors") or [] if s not in prefixes]
     faults += [f"overrides: no area {nearest_name(a, [x.name for x in areas])}" for a in data.get("overrides", {}) if a not in [x.name for x in areas]]
