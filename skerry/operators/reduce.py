@@ -113,10 +113,10 @@ def sample_cells(dem: DataFrame, *, blocks: int, height: int, width: int, low: f
     return best if most >= blocks * blocks else best.orderBy("block").limit(most)
 
 
-def datum_offset(points: DataFrame, *, key: str, value: str, least: int = 5, sane_m: float = 5.0, spread_max: float = 0.5, sentinel: float = 10_000.0, fallback: float | None = None) -> DataFrame:
+def datum_offset(points: DataFrame, *, key: str, value: str, least: int = 1, sane_m: float = 5.0, spread_max: float = 0.5, sentinel: float = 10_000.0, fallback: float | None = None) -> DataFrame:
     """``key, offset_m, spread_m, points, status``: the median offset of a key's points.
 
-    Offsets beyond the sentinel are out of coverage, so missing. ``resolved`` needs ``least`` points, a spread of at most
+    Offsets beyond the sentinel are out of coverage, so missing. ``resolved`` needs ``least`` points (any, by default), a spread of at most
     ``spread_max`` and a plausible median; otherwise ``too few``, ``spread`` or ``implausible``, with the fallback (``fallback``)
     where one is given."""
     v = F.when(F.abs(value) <= sentinel, F.col(value))

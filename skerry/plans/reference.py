@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skerry.functions import geo, times, values
-from skerry.operators import acquire, cube, filters, match, neighbourhood, rasters, reduce, scenes, tides
+from skerry.operators import acquire, cube, datum, filters, match, neighbourhood, rasters, reduce, scenes, tides
 from skerry.runtime import table
 from skerry.sources import files
 from skerry.streaming import readings as streaming
@@ -491,12 +491,36 @@ OFFSETS = "SELECT c_nationkey AS k, CASE WHEN c_custkey % 17 = 0 THEN -999999 WH
 
 
 @query("datum_offset", f"""WITH o AS (SELECT k, CASE WHEN abs(off) <= 10000 THEN off::DOUBLE END AS v FROM ({OFFSETS.format(customer='customer')})), g AS (SELECT k, median(v) AS m, max(v) - min(v) AS s, count(v) AS n FROM o GROUP BY 1),
-  w AS (SELECT *, n < 5 OR abs(m) > 5 OR s > 0.5 AS bad FROM g) SELECT k, round(CASE WHEN bad THEN 0.25 ELSE m END, 6)::DOUBLE AS offset_m, round(s, 6) AS spread_m, n AS points, CASE WHEN bad THEN 'fallback' ELSE 'resolved' END AS status FROM w""")
+  w AS (SELECT *, n < 1 OR abs(m) > 5 OR s > 0.5 AS bad FROM g) SELECT k, round(CASE WHEN bad THEN 0.25 ELSE m END, 6)::DOUBLE AS offset_m, round(s, 6) AS spread_m, n AS points, CASE WHEN bad THEN 'fallback' ELSE 'resolved' END AS status FROM w""")
 def datum_offset(spark: SparkSession, d: str) -> DataFrame:
     o = frame(spark, d, OFFSETS).withColumn("off", F.col("off").cast("double"))
     return reduce.datum_offset(o, key="k", value="off", fallback=0.25).select("k", r6("offset_m"), r6("spread_m"), "points", "status")
 
 
+LADDER_AREAS = "SELECT aoi AS area, CASE ascii(aoi) % 4 WHEN 0 THEN 'gmrt' WHEN 1 THEN 'other' ELSE 'cudem' END AS dem_source, (south + north) / 2 AS lat, (west + east) / 2 AS lon, CASE WHEN length(aoi) % 2 = 0 THEN 0.75 END AS fallback_m FROM {aoi}"
+LADDER_SAMPLES = "SELECT aoi AS area, CASE WHEN s_suppkey % 2 = 0 THEN 'westcoast' ELSE 'contiguous' END AS region, CASE WHEN s_acctbal < 0 AND s_nationkey % 2 = 0 THEN -999999.0 WHEN s_nationkey > 20 THEN 6.0 + s_acctbal / 100000 ELSE s_acctbal / CASE WHEN s_nationkey % 3 = 0 THEN 10000 ELSE 60000 END END AS t_z FROM {aoi} JOIN {supplier} ON s_nationkey = (ascii(aoi) + length(aoi) * 7) % 26"
+LADDER_GAUGES = "SELECT station_id AS place_id, lat, lon, lat / 100 AS msl, CASE WHEN network IS NOT NULL THEN lat / 100 - length(name) / 20.0 END AS navd88, CASE length(name) % 3 WHEN 0 THEN 'meters' WHEN 1 THEN '' ELSE 'feet' END AS units FROM {station}"
+
+
+@query("datum_ladder", f"""WITH a AS (SELECT * FROM ({LADDER_AREAS.format(aoi='aoi')})), r AS (SELECT area, region, -t_z::DOUBLE AS v FROM ({LADDER_SAMPLES.format(aoi='aoi', supplier='supplier')}) JOIN a USING (area) WHERE abs(t_z) <= 10000 AND (region = 'contiguous' OR lon < -115)),
+  p AS (SELECT area, region, median(v) AS off, max(v) - min(v) AS spread, count(*) AS n, row_number() OVER (PARTITION BY area ORDER BY region <> 'westcoast') AS k FROM r GROUP BY 1, 2),
+  g AS (SELECT place_id, lat, lon, (msl - navd88)::DOUBLE AS tie FROM ({LADDER_GAUGES.format(station='station')}) WHERE abs(msl - navd88) <= 5 AND units <> 'feet'),
+  w AS (SELECT area, place_id, tie, {HAVERSINE.format(a='a.lat', b='a.lon', c='g.lat', d='g.lon')} AS km FROM a, g), near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY km, place_id) AS k FROM w WHERE km <= 300) WHERE k = 1),
+  j AS (SELECT a.*, p.region, off, spread, n, place_id, km, tie, coalesce(dem_source = 'cudem' AND abs(off) <= 5, false) AS known FROM a LEFT JOIN p ON p.area = a.area AND p.k = 1 LEFT JOIN near ON near.area = a.area),
+  m AS (SELECT *, CASE dem_source WHEN 'gmrt' THEN 'gmrt_msl_assumed' WHEN 'other' THEN 'unknown_dem_datum' ELSE CASE WHEN known AND spread > 0.5 THEN 'vdatum_spread_too_large' WHEN known THEN 'vdatum_navd88_to_lmsl' WHEN tie IS NOT NULL THEN 'coops_msl_minus_navd88' ELSE 'none' END END AS how FROM j),
+  f AS (SELECT *, how IN ('unknown_dem_datum', 'vdatum_spread_too_large', 'none') AS lost, how = 'vdatum_navd88_to_lmsl' AND tie IS NOT NULL AS crossed FROM m)
+  SELECT area, CASE dem_source WHEN 'gmrt' THEN 'MSL_APPROX' WHEN 'other' THEN 'UNKNOWN' ELSE 'NAVD88' END AS datum,
+    round(CASE WHEN how = 'vdatum_navd88_to_lmsl' THEN off WHEN how = 'coops_msl_minus_navd88' THEN tie WHEN lost AND fallback_m IS NOT NULL THEN fallback_m ELSE 0 END, 3)::DOUBLE AS datum_offset_m,
+    CASE WHEN lost AND fallback_m IS NOT NULL THEN 'config_fallback' ELSE how END AS method, CASE WHEN NOT lost THEN 'ok' WHEN fallback_m IS NOT NULL THEN 'regional_default' ELSE 'unresolved_assumed_zero' END AS status,
+    CASE WHEN known THEN n END AS samples, CASE WHEN known THEN region END AS region, CASE WHEN crossed OR how = 'coops_msl_minus_navd88' THEN place_id END AS gauge_id, round(CASE WHEN crossed THEN abs(off - tie) END, 3) AS crosscheck_m,
+    concat_ws(', ', CASE WHEN known AND n < 5 THEN 'few samples' END, CASE WHEN how = 'vdatum_navd88_to_lmsl' AND spread > 0.15 THEN 'samples vary' END, CASE WHEN (crossed OR how = 'coops_msl_minus_navd88') AND km > 10 THEN 'gauge is far' END, CASE WHEN crossed AND abs(off - tie) > 0.15 THEN 'gauge disagrees' END) AS warning FROM f""")
+def datum_ladder(spark: SparkSession, d: str) -> DataFrame:
+    num = lambda df, *cs: df.withColumns({c: F.col(c).cast("double") for c in cs})
+    a, s, g = (frame(spark, d, q) for q in (LADDER_AREAS, LADDER_SAMPLES, LADDER_GAUGES))
+    r = datum.resolve_datum(num(a, "lat", "lon", "fallback_m"), num(s, "t_z"), num(g, "msl", "navd88"), datum.DatumRule(gauge_km=300.0))
+    return r.select("area", "datum", rnd("datum_offset_m", 3).alias("datum_offset_m"), "method", "status", "samples", "region", "gauge_id", rnd("crosscheck_m", 3).alias("crosscheck_m"), "warning")
+
+
 DRIFT = "SELECT user_id, 40 + user_id % 10 + (event_id % 7) * 0.0001 * (user_id % 5) AS lat, -70 + (event_id % 3) * 0.001 * (user_id % 4) AS lon, date_trunc('hour', ts) AS h FROM {events}"
 
 
@@ -708,6 +732,23 @@ def scene_quality(spark: SparkSession, d: str) -> DataFrame:
     return rasters.scene_quality(s, frame(spark, d, "static"), GRID, keys=["granule"]).select("granule", r6("valid_frac"), "coast_obs", r6("coast_obs_frac"), r6("contrast"))
 
 
+#: M2, K1 and O1 of every supplier: (number, amplitude, phase).
+NODAL = "SELECT s_suppkey AS station_id, unnest([1, 4, 6]) AS number, unnest([1.2, 0.4, 0.3]) AS amplitude, unnest([CAST(s_suppkey % 360 AS DOUBLE), 40.0, 210.0]) AS phase_deg FROM supplier"
+NODAL_SPARK = "SELECT s_suppkey AS station_id, inline(array(struct(1 AS number, 1.2D AS amplitude, CAST(s_suppkey % 360 AS DOUBLE) AS phase_deg), struct(4 AS number, 0.4D AS amplitude, 40.0D AS phase_deg), struct(6 AS number, 0.3D AS amplitude, 210.0D AS phase_deg))) FROM {supplier}"
+
+
+@query("tide_nodal", f"""WITH c AS ({NODAL}), t AS (SELECT ts, epoch(ts) / 86400 - 10957.5 AS d FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-02 23:00:00', INTERVAL 1 HOUR)) AS ts)),
+  l AS (SELECT ts, (d - floor(d)) * 360 AS t0, 218.3164591 + 481267.88134236 * d / 36525 - 0.0013268 * pow(d / 36525, 2) AS s, 280.46645 + 36000.76983 * d / 36525 + 0.0003032 * pow(d / 36525, 2) AS h, radians(125.044555 - 1934.1361849 * d / 36525 + 0.0020762 * pow(d / 36525, 2)) AS n FROM t),
+  i AS (SELECT *, acos(cos(radians(5.145)) * cos(radians(23.4392911)) - sin(radians(5.145)) * sin(radians(23.4392911)) * cos(n)) AS i, asin(sin(radians(5.145)) * sin(n) / sin(acos(cos(radians(5.145)) * cos(radians(23.4392911)) - sin(radians(5.145)) * sin(radians(23.4392911)) * cos(n)))) AS nu FROM l),
+  x AS (SELECT *, atan2(sin(radians(23.4392911)) * sin(n), cos(radians(5.145)) * sin(radians(23.4392911)) * cos(n) + sin(radians(5.145)) * cos(radians(23.4392911))) AS arc, atan2(sin(2 * i) * sin(nu), sin(2 * i) * cos(nu) + 0.3347) AS nu1 FROM i),
+  y AS (SELECT *, n - arc - 2 * pi() * round((n - arc) / (2 * pi())) AS xi FROM x),
+  f AS (SELECT ts, unnest([1, 4, 6]) AS number, unnest([pow(cos(i / 2), 4) / 0.9154, sqrt(0.8965 * pow(sin(2 * i), 2) + 0.6001 * sin(2 * i) * cos(nu) + 0.1006), sin(i) * pow(cos(i / 2), 2) / 0.38]) AS f,
+          unnest([2 * t0 - 2 * s + 2 * h + degrees(2 * xi - 2 * nu), t0 + h - 90 - degrees(nu1), t0 - 2 * s + h + 90 + degrees(2 * xi - nu)]) AS v FROM y)
+  SELECT station_id, ts, round(sum(amplitude * f * cos(radians(v - phase_deg))), 5) AS value FROM c JOIN f USING (number) GROUP BY 1, 2""", instants=("ts",))
+def tide_nodal(spark: SparkSession, d: str) -> DataFrame:
+    return tides.predict_harmonics(frame(spark, d, NODAL_SPARK), start="2024-01-01", end="2024-01-02").withColumn("value", rnd("value", 5))
+
+
 # ---- tides, catalogues, streams -------------------------------------------------------------------------------------------
 
 HARMONICS = "SELECT s_suppkey AS station_id, 1 + s_acctbal / 10000 AS amplitude, 28.9841042 AS speed_deg_h, CAST(s_suppkey % 360 AS DOUBLE) AS phase_deg FROM {supplier} UNION ALL SELECT s_suppkey, 0.3, 15.0410686, CAST(s_suppkey * 7 % 360 AS DOUBLE) FROM {supplier}"
