@@ -690,10 +690,16 @@ def _disk(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return s, w
 
 
-@query("georef_check")
+@query("georef_check", """WITH cell AS (SELECT k // 60 AS y, k % 60 AS x, pow(k % 60 - 30, 2) + pow(k // 60 - 30, 2) < 400 AS water, k FROM range(3600) AS t(k)),
+  coast AS (SELECT count(*) AS n FROM cell w WHERE water AND EXISTS (SELECT 1 FROM cell l WHERE NOT l.water AND l.y BETWEEN w.y - 1 AND w.y + 1 AND l.x BETWEEN w.x - 1 AND w.x + 1)),
+  moved AS (SELECT n_nationkey AS scene, (n_nationkey // 5 - 2)::INT AS my, (n_nationkey % 5 - 2)::INT AS mx FROM nation),
+  v AS (SELECT scene, water, CASE WHEN pow(x - 30 - mx, 2) + pow(y - 30 - my, 2) < 400 THEN 280.0 ELSE 290.0 END + (k * 7919 % 100) / 10000.0 AS sst FROM moved, cell),
+  q AS (SELECT scene, round(abs(avg(sst) FILTER (WHERE NOT water) - avg(sst) FILTER (WHERE water)), 6) AS contrast FROM v GROUP BY 1)
+  SELECT scene, -my AS dy, -mx AS dx, round(100 * sqrt(my * my + mx * mx), 6) AS shift_m, coast.n AS coast_obs, contrast, CASE WHEN my * my + mx * mx <= 1 THEN 'ok' ELSE 'displaced' END AS verdict FROM moved JOIN q USING (scene), coast""")
 def georef_check(spark: SparkSession, d: str) -> DataFrame:
+    """The disk is moved by a known number of cells in each scene; the check has to find just that."""
     s, w = _disk(spark, d)
-    return rasters.check_georeference(s, w, SHIFT_GRID, SHIFT_RULE, keys=["scene"])
+    return rasters.check_georeference(s, w, SHIFT_GRID, SHIFT_RULE, keys=["scene"]).select("scene", "dy", "dx", r6("shift_m"), "coast_obs", r6("contrast"), "verdict")
 
 
 @query("georef_correct", """WITH k AS (SELECT n_nationkey AS scene, (2 - n_nationkey // 5)::INT AS dy, (2 - n_nationkey % 5)::INT AS dx FROM nation), s AS (SELECT l_suppkey % 25 AS scene, CAST(floor(l_partkey % 400 / 20) AS INT) AS cr, CAST(l_partkey % 20 AS INT) AS cc, max(l_quantity) AS sst FROM lineitem GROUP BY 1, 2, 3),
@@ -838,7 +844,15 @@ def areas_meeting_box(spark: SparkSession, d: str) -> DataFrame:
     return acquire.boxes_meeting(table(spark, d, "aoi"), (-120.0, -40.05, 12.0, 50.05)).select("aoi")
 
 
-@query("footprints_meeting_box")
+@query("footprints_meeting_box", """WITH rings AS (SELECT aoi, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS r FROM aoi),
+  pts AS (SELECT aoi, list_transform(string_split(r, ','), lambda q: list_transform(string_split(trim(q), ' '), lambda v: v::DOUBLE)) AS q FROM rings),
+  seg AS (SELECT aoi, t.turn, q[i][1] + t.turn AS x0, q[i][2] AS y0, q[i + 1][1] + t.turn AS x1, q[i + 1][2] AS y1 FROM (SELECT aoi, q, unnest(generate_series(1, len(q) - 1)) AS i FROM pts), (VALUES (-360), (0), (360)) AS t(turn)),
+  box AS (SELECT -120.0 AS w, -40.05 AS s, 12.0 AS e, 50.05 AS n), corner AS (SELECT w AS x, s AS y FROM box UNION ALL SELECT e, s FROM box UNION ALL SELECT e, n FROM box UNION ALL SELECT w, n FROM box),
+  side AS (SELECT w AS px, s AS py, e AS qx, s AS qy FROM box UNION ALL SELECT e, s, e, n FROM box UNION ALL SELECT e, n, w, n FROM box UNION ALL SELECT w, n, w, s FROM box),
+  vertex AS (SELECT DISTINCT aoi FROM seg, box WHERE x0 BETWEEN w AND e AND y0 BETWEEN s AND n),
+  crossing AS (SELECT DISTINCT aoi FROM seg, side WHERE ((qx - px) * (y0 - py) - (qy - py) * (x0 - px)) * ((qx - px) * (y1 - py) - (qy - py) * (x1 - px)) <= 0 AND ((x1 - x0) * (py - y0) - (y1 - y0) * (px - x0)) * ((x1 - x0) * (qy - y0) - (y1 - y0) * (qx - x0)) <= 0),
+  held AS (SELECT DISTINCT aoi FROM (SELECT aoi, turn, x, y, count(*) AS c FROM seg, corner WHERE (y0 > y) <> (y1 > y) AND x < (x1 - x0) * (y - y0) / (y1 - y0) + x0 GROUP BY 1, 2, 3, 4) WHERE c % 2 = 1)
+  SELECT aoi FROM vertex UNION SELECT aoi FROM crossing UNION SELECT aoi FROM held UNION SELECT aoi FROM aoi WHERE wkt IS NULL""")
 def footprints_meeting_box(spark: SparkSession, d: str) -> DataFrame:
     return acquire.meets_box(table(spark, d, "aoi").select("aoi", "wkt"), (-120.0, -40.05, 12.0, 50.05)).select("aoi")
 
