@@ -5,62 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skerry.llm.bpe import decode_ids, encode_texts
+from skerry.llm.garbled import find_garbled, restore_garbled
+from skerry.llm.leaks import find_leaks, remove_leaks
+from skerry.llm.nearest import match_nearest
 from skerry.operators.regular import finite
 from skerry.runtime import table
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    from skerry.llm.nearest import match_nearest
-
     obs = table(spark, d, "obs")
     m = match_nearest(table(spark, d, "overpass"), obs, right_ok=finite(F.col("value")))
     return m.select("overpass_id", "obs_id")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    from skerry.llm.bpe import encode_texts
-
     return encode_texts(table(spark, d, "documents"))
 
 
 def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
     """The texts after encoding and decoding."""
-    from skerry.llm.bpe import decode_ids
-
     return decode_ids(p7_ids(spark, d))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    from skerry.llm.leaks import find_leaks
-
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_item")).select("item_id", "doc_id").distinct()
 
 
 def p8_by_item(spark: SparkSession, d: str) -> DataFrame:
     """Documents and longest shared stretch of each leaked item."""
-    from skerry.llm.leaks import find_leaks
-
     f = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
     return f.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("longest").cast("long").alias("longest"))
 
 
 def p8_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     """The documents without their leaked stretches."""
-    from skerry.llm.leaks import remove_leaks
-
     return remove_leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    from skerry.llm.garbled import find_garbled
-
     return find_garbled(table(spark, d, "documents")).select("doc_id")
 
 
 def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     """The garbled documents with their text restored as far as it can be."""
-    from skerry.llm.garbled import restore_garbled
-
     return restore_garbled(table(spark, d, "documents")).select("doc_id", "restored", "complete")
 
 

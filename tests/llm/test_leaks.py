@@ -2,7 +2,7 @@
 
 import random
 
-from skerry.llm.leaks import Automaton, find_leaks, remove_leaks, scrub, word_ranges, words_of
+from skerry.llm.leaks import Automaton, find_leaks, remove_leaks, scrub, word_ranges, words_in_pieces, words_of
 
 
 def test_words():
@@ -38,6 +38,10 @@ def test_automaton_against_plain_search():
             assert a.found(doc) == want
 
 
+def without(text, automaton):
+    return scrub(text, automaton.spans(words_in_pieces(text), 13, 0.9))
+
+
 PASSAGE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 
 
@@ -52,6 +56,9 @@ def test_frames_with_rows_of_any_kind(spark, rows):
     assert {r[0] for r in find_leaks(d, i).select("longest").collect()} == {14}
     assert find_leaks(d.limit(0), i).count() == 0
     assert find_leaks(d, i.limit(0)).count() == 0
+    assert {r[0] for r in find_leaks(d, i, block_words=5, per_task=1).select("longest").collect()} == {14}
+    one = remove_leaks(d, i).select("doc_id", "text", "words_removed")
+    assert rows(remove_leaks(d, i, block_words=5, per_task=2)) == rows(one)
     clean = {r["doc_id"]: r for r in remove_leaks(d.where("doc_id > 1"), i, block_words=5).collect()}
     assert clean[3]["text"] == docs[2][1] and clean[4]["text"] is None and clean[5]["text"] == ""
     assert clean[2]["text"] == "" and clean[2]["words_removed"] == 14
@@ -60,9 +67,9 @@ def test_frames_with_rows_of_any_kind(spark, rows):
 
 def test_scrub_keeps_the_rest():
     a = Automaton([(1, words_of(PASSAGE)), (2, words_of("a short but whole item of nine words"))], 5)
-    got, n = scrub(f"Keep  this.\n{PASSAGE} And\tthat; a short but whole item of nine words end", a, 13, 0.9)
+    got, n = without(f"Keep  this.\n{PASSAGE} And\tthat; a short but whole item of nine words end", a)
     assert got == "Keep  this.\nAnd\tthat; end" and n == 22
-    assert scrub("one two three four five six", a, 13, 0.9) == ("one two three four five six", 0)
+    assert without("one two three four five six", a) == ("one two three four five six", 0)
 
 
 CHINESE = "海水温度、盐度、流速、风向、气压、湿度、云量、潮位、波高、能见度、降水、辐射、浊度、叶绿素"
@@ -71,12 +78,12 @@ CHINESE = "海水温度、盐度、流速、风向、气压、湿度、云量、
 def test_scrub_within_pieces():
     assert len(words_of(CHINESE)) == 14
     a = Automaton([(1, words_of(PASSAGE)), (2, words_of(CHINESE))], 8)
-    assert scrub(f"今天的报告。{CHINESE}。明天再报。", a, 13, 0.9) == ("今天的报告。明天再报。", 14)
+    assert without(f"今天的报告。{CHINESE}。明天再报。", a) == ("今天的报告。明天再报。", 14)
     for by in ",/_":
-        assert scrub(f"a keep{by}{PASSAGE.replace(' ', by)}{by}stay b", a, 13, 0.9) == (f"a keep{by}stay b", 14)
-    assert scrub(f"Ärger,{PASSAGE.replace('five', 'ｆｉ­ｖｅ')},Maß x", a, 13, 0.9) == ("Ärger, Maß x", 14)
+        assert without(f"a keep{by}{PASSAGE.replace(' ', by)}{by}stay b", a) == (f"a keep{by}stay b", 14)
+    assert without(f"Ärger,{PASSAGE.replace('five', 'ｆｉ­ｖｅ')},Maß x", a) == ("Ärger, Maß x", 14)
     half = Automaton([(1, words_of(f"{PASSAGE} 1"))], 8)
-    assert scrub(f"x,{PASSAGE},½", half, 13, 0.9) == ("x, ½", 14)
+    assert without(f"x,{PASSAGE},½", half) == ("x, ½", 14)
 
 
 def test_word_ranges_are_those_words():
@@ -88,3 +95,19 @@ def test_word_ranges_are_those_words():
         assert len(got) == len(words_of(t))
         for (p, q), w in zip(got, words_of(t), strict=True):
             assert w in words_of(t[p:q]) and 0 <= p < q <= len(t)
+
+
+def test_many_items_give_what_one_automaton_gives(spark, rows):
+    rnd = random.Random(8)
+    vocab = [f"w{k}" for k in range(300)]
+    items = [(k, " ".join(rnd.choice(vocab) for _ in range(rnd.randrange(5, 60)))) for k in range(80)]
+    docs = []
+    for k in range(120):
+        part = rnd.choice(items)[1].split()
+        a = rnd.randrange(len(part))
+        docs.append((k, " ".join([*(rnd.choice(vocab) for _ in range(30)), *part[a : a + rnd.randrange(30)], *(rnd.choice(vocab) for _ in range(20)), *rnd.choice(items)[1].split()])))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = rows(find_leaks(d, i), "item_id", "doc_id", "longest")
+    assert len(whole) > 100
+    assert rows(find_leaks(d, i, block_words=300, per_task=10), "item_id", "doc_id", "longest") == whole
+    assert rows(remove_leaks(d, i, block_words=300, per_task=10)) == rows(remove_leaks(d, i))
