@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skerry.functions.geo import Grid
-from skerry.functions.values import statistic
+from skerry.functions.values import PERCENTILE, statistic
 
 EDGE_M = 1e-6
 
@@ -44,22 +44,36 @@ def extract(points: DataFrame, cube: DataFrame, grid: Grid, *, radius_m: float,
     are those of :func:`statistic` over the cells of the disc. A cell without a row in the cube counts as missing. A point has a
     row for each key at which the cube has a row for any cell of its disc; an assembled cube is dense, so that is every day.
     """
-    out = None
-    for near, names in ((True, [s for s in stats if s == "nearest"]), (False, [s for s in stats if s != "nearest"])):
-        if not names:
-            continue
-        cells = disc_cells(points, grid, 0.0 if near else radius_m, mask=None if near else mask)
-        cells = cells.where("home") if near else cells
-        # the size of a disc is known without the cube: cells without a row are missing values
-        size = cells.groupBy("point_id").agg(F.count("*").alias("cells"))
-        cells = cells.select("point_id", "row", "col").join(size, "point_id")
-        have = cells.join(cube.select(*keys, "row", "col", F.col(value).alias("v")), ["row", "col"])
-        by = ["point_id", *keys]
-        agg = have.groupBy(*by).agg(*(statistic("nanmean" if near else s, F.col("v"), rows=F.max("cells")).cast("double").alias(f"s{k}") for k, s in enumerate(names)))
-        cols = [F.struct(F.lit(s).alias("stat"), F.lit(0.0 if near else float(radius_m)).alias("radius_m"), F.col(f"s{k}").alias("value")) for k, s in enumerate(names)]
-        long = agg.select(*by, F.explode(F.array(*cols)).alias("s")).select(*by, "s.stat", "s.radius_m", "s.value")
-        out = long if out is None else out.unionByName(long)
-    return out
+    near, names = "nearest" in stats, [s for s in stats if s != "nearest"]
+    cells = disc_cells(points, grid, radius_m if names else 0.0)
+    if mask is None:
+        cells = cells.withColumn("_in", F.lit(True))
+    else:
+        cells = cells.join(mask.where(F.col("mask") > 0).select("row", "col", F.lit(True).alias("_in")), ["row", "col"], "left").withColumn("_in", F.coalesce("_in", F.lit(False)))
+    if not (near and names):
+        cells = cells.where("home" if near else "_in")
+    # the size of a disc is known without the cube: cells without a row are missing values
+    size = cells.where("_in").groupBy("point_id").agg(F.count("*").alias("_cells"))
+    cells = cells.where(F.col("home") | F.col("_in")).select("point_id", "row", "col", "home", "_in").join(size, "point_id", "left")
+    have = cells.join(cube.select(*keys, "row", "col", F.col(value).alias("_v")), ["row", "col"])
+    by = ["point_id", *keys]
+    v = F.when(F.col("_in"), F.col("_v"))
+    # all percentiles of one disc come from one buffer of its values
+    shares = {s: 0.5 if s in ("median", "nanmedian") else float(s[1:]) / 100 for s in names if s in ("median", "nanmedian") or PERCENTILE.match(s)}
+    made = [statistic(s, v, rows=F.max("_cells")).cast("double").alias(f"s{k}") for k, s in enumerate(names) if s not in shares]
+    if shares:
+        made += [F.percentile(v, F.array(*map(F.lit, sorted(set(shares.values()))))).alias("_p"), F.count(v).alias("_n"), F.max("_cells").alias("_m")]
+    agg = have.groupBy(*by).agg(F.max("_in").alias("_any"), F.max("home").alias("_home"), F.max(F.when(F.col("home"), F.col("_v"))).alias("_at"), *made)
+    order = sorted(set(shares.values()))
+    of = {s: F.col("_p")[order.index(p)] for s, p in shares.items()}
+    if "median" in of:
+        of["median"] = F.when(F.col("_n") == F.col("_m"), of["median"])
+    cols = [F.struct(F.lit(s).alias("stat"), F.lit(float(radius_m)).alias("radius_m"), (of[s] if s in of else F.col(f"s{k}")).cast("double").alias("value")) for k, s in enumerate(names)]
+    disc = F.when(F.col("_any"), F.array(*cols)) if cols else None
+    home = F.when(F.col("_home"), F.array(F.struct(F.lit("nearest").alias("stat"), F.lit(0.0).alias("radius_m"), F.col("_at").cast("double").alias("value")))) if near else None
+    none = F.array().cast("array<struct<stat:string,radius_m:double,value:double>>")
+    parts = [F.coalesce(x, none) for x in (disc, home) if x is not None]
+    return agg.select(*by, F.explode(F.concat(*parts)).alias("s")).select(*by, "s.stat", "s.radius_m", "s.value")
 
 
 def edge_points(points: DataFrame, grid: Grid, max_radius_m: float) -> DataFrame:

@@ -80,9 +80,11 @@ def mosaic(scenes: DataFrame) -> DataFrame:
     valid pixels come first, by that number, then the earliest other with a value. Cells without any value keep the base granule's
     cloud. ``hour`` is the base granule's; missing cloud is 0.
     """
-    g = granules(scenes)
-    base = g.where("rank = 1").select("day", F.col("granule").alias("base"), (F.hour("ts") + F.minute("ts") / 60.0).alias("hour"))
-    s = scenes.select("day", "granule", "row", "col", "sst", "cloud", "valid").join(g.select("day", "granule", "n_valid", "record", F.col("ts").alias("gts")), ["day", "granule"]).join(base, "day")
+    # the base granule of the day beside each granule: a window over a few rows, so that the scenes are joined once
+    top = F.first(F.struct("granule", "ts")).over(W.partitionBy("day").orderBy("rank").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    g = granules(scenes).withColumn("_top", top)
+    g = g.select("day", "granule", "n_valid", "record", F.col("ts").alias("gts"), F.col("_top.granule").alias("base"), (F.hour("_top.ts") + F.minute("_top.ts") / 60.0).alias("hour"))
+    s = scenes.select("day", "granule", "row", "col", "sst", "cloud", "valid").join(g, ["day", "granule"])
     has = F.col("sst").isNotNull()
     ranked = F.col("valid") | F.col("record")
     order = [F.when(has, 0).otherwise(1), F.when(F.col("valid"), 0).otherwise(1), F.when(ranked, 0).otherwise(1), F.when(ranked, -F.col("n_valid")), F.when(~has, F.when(F.col("granule") == F.col("base"), 0).otherwise(1)), F.col("gts"), F.col("granule")]
