@@ -179,3 +179,24 @@ def test_viterbi_in_blocks_is_that_of_row_by_row(n, share):
                 want, cost = sequential(rule, code, us, m, a, b)
                 assert (_decode(rule, code, us, m, a, b) == want).all()
                 assert np.isclose(through[a] - through[a].min(), cost - cost.min()).all() or n == 1
+
+
+def test_choices_among_several_readings(spark):
+    """The hour that occurs twice is told by the record order, an unknown order of day and month by the rows beside it."""
+    rows = {
+        "zone": ["2024-10-27 01:50:00", "2024-10-27 02:10:00", "2024-10-27 02:40:00", "2024-10-27 02:10:00", "2024-10-27 02:40:00", "2024-10-27 03:10:00"],
+        "order": ["11/04/2024 10:00", "12/04/2024 10:00", "13/04/2024 10:00", "14/04/2024 10:00", "01/05/2024 10:00"],
+        "month first": ["04/28/2024 10:00", "05/01/2024 10:00", "05/02/2024 10:00"],
+    }
+    want = {
+        "zone": ["2024-10-26T23:50", "2024-10-27T00:10", "2024-10-27T00:40", "2024-10-27T01:10", "2024-10-27T01:40", "2024-10-27T02:10"],
+        "order": ["2024-04-11T10:00", "2024-04-12T10:00", "2024-04-13T10:00", "2024-04-14T10:00", "2024-05-01T10:00"],
+        "month first": ["2024-04-28T10:00", "2024-05-01T10:00", "2024-05-02T10:00"],
+    }
+    data = [(100 * k + j, f, t) for k, (f, ts) in enumerate(rows.items()) for j, t in enumerate(ts)]
+    feeds = spark.createDataFrame([("zone", "Europe/Oslo", "DMY"), ("order", None, None), ("month first", "UTC", None)], "feed_id string, time_zone string, date_order string")
+    df = spark.createDataFrame(data, "row_id long, feed_id string, time string")
+    for block in (1 << 17, 2):
+        got = normalise_stamps(df, feeds, StampRule(block=block)).orderBy("row_id").collect()
+        assert [np.datetime64(r["time_us"], "us").astype("datetime64[m]").item().strftime("%Y-%m-%dT%H:%M") for r in got] == [x for f in rows for x in want[f]]
+        assert [r["readings"] for r in got] == [1, 2, 2, 2, 2, 1, 2, 2, 1, 1, 2, 1, 2, 2]
