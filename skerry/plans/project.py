@@ -23,6 +23,7 @@ from skerry.functions.geo import Grid
 from skerry.functions.values import flag
 from skerry.operators import acquire, cube, filters, match, neighbourhood, rasters, reduce, scenes
 from skerry.plans.config import CORRECTED, Area, Project, step_order
+from skerry.plans.fields import inputs_of
 from skerry.sources.store import attributes_of, is_complete, stamp, write_table
 
 CELL = ["day", "row", "col"]
@@ -461,7 +462,7 @@ def run(spark: SparkSession, project: Project, *, areas: list[str] | None = None
                 if project.block_days and name != "points":
                     df = cube.day_blocks(df, project.start, project.block_days)
                 write_table(df, at[name])
-                stamp(spark, at[name], {"settings": settings, "area": area.name, "start": project.start, "end": project.end, "channels": df.columns})
+                stamp(spark, at[name], {"settings": settings, "area": area.name, "start": project.start, "end": project.end, "inputs": {c: inputs_of(c) for c in df.columns if c not in CELL} if name != "points" else {}})
                 report[key] = "written"
             return spark.read.parquet(at[name])
 

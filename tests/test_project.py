@@ -75,7 +75,9 @@ def project(spark, tmp_path_factory):
 def test_from_tables_to_values(spark, rows, project):
     assert run(spark, project) == {"bay/cube": "written", "bay/derived": "written", "bay/points": "written"}
     assert set(run(spark, project).values()) == {"kept"}
-    assert attributes_of(spark, f"{project.output}/bay/cube")["start"] == "2024-06-01"
+    stamped = attributes_of(spark, f"{project.output}/bay/derived")
+    assert stamped["start"] == "2024-06-01" and stamped["inputs"]["eco_water_elev"] == ["bathymetry", "tides", "ecostress"]
+    assert None not in stamped["inputs"].values()  # every channel is known to the rules
     c = spark.read.parquet(f"{project.output}/bay/cube")
     assert c.count() == 396 and c.where("eco_sst IS NOT NULL").count() == 264
     r = c.where("day = '2024-06-01' AND row = 2 AND col = 2").collect()[0]
