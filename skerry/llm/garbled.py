@@ -492,6 +492,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, documents), and with a leading NUL (character, its occurrences in keys and stretches)."""
     n: Counter[str] = Counter()
     stretches: Counter[str] = Counter()
+    held = 0
 
     def flush() -> pa.RecordBatch:
         chars: Counter[str] = Counter()
@@ -508,8 +509,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, wide = keys_and_wide(t)
             n.update(keys)
             stretches.update(wide)
-        if len(n) + len(stretches) > 200_000:
+            held += len(t)
+        if len(n) + len(stretches) > 200_000 or held > 50_000_000:  # keys may be long: what they hold together counts too
             yield flush()
+            held = 0
     yield flush()
 
 
