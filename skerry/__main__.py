@@ -69,8 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     if a.verb == "validate":
         print(f"{len(areas)} areas, settings {project.fingerprint()[:12]}")
-        if unused := products.unused(project.products):
-            print(f"without effect here (they steer acquisition; inputs come as tables): {', '.join(unused)}")
+        if project.idle:
+            print(f"without effect here (they steer acquisition or files; inputs come as tables): {', '.join(project.idle)}")
         return 0
     if a.verb == "order":
         print("\n".join(config.step_order(list(project.steps))))

@@ -12,7 +12,7 @@ from typing import Any
 
 from skerry.functions.geo import KM_PER_DEGREE
 from skerry.functions.values import PERCENTILE, STATS
-from skerry.plans import products
+from skerry.plans import products, settings
 
 
 class SettingsError(ValueError):
@@ -128,7 +128,11 @@ class Project:
     met_time: str = "reference"
     insitu: bool = True
     block_days: int | None = None
+    memory_budget_gb: float | None = None
     jobs: int = 1
+    points_columns: dict[str, str] = field(default_factory=dict)
+    points_format: str = "parquet"
+    idle: tuple[str, ...] = ()
     products: dict[str, dict[str, Any]] = field(default_factory=dict)
     regions: dict[str, dict[str, dict[str, Any]]] = field(default_factory=dict)
     inputs: dict[str, str] = field(default_factory=dict)
@@ -176,7 +180,10 @@ def parse(data: dict[str, Any]) -> Project:
         except SettingsError as e:
             faults.append(str(e))
 
-    known = [f.name for f in dataclasses.fields(Project)]
+    idle: list[str] = []
+    if settings.is_nested(data):
+        data, faults, idle = settings.flatten(data, nearest_name)
+    known = [f.name for f in dataclasses.fields(Project) if f.name != "idle"]
     faults += [f"unknown {nearest_name(k, known)}" for k in data if k not in known]
     data = {k: v for k, v in data.items() if k in known}
     areas = tuple(x for a in data.get("areas", []) if (x := attempt(lambda a=a: build(Area, a, "area"))))
@@ -216,7 +223,9 @@ def parse(data: dict[str, Any]) -> Project:
     faults += [f"overrides: no area {nearest_name(a, [x.name for x in areas])}" for a in data.get("overrides", {}) if a not in [x.name for x in areas]]
     if faults:
         raise SettingsError("; ".join(faults))
-    return Project(**(data | {"areas": areas, "sensors": sensors, "channels": channels}))
+    if data.get("points_format", "parquet") not in ("parquet", "csv"):
+        raise SettingsError(f"extract: unknown format {nearest_name(str(data['points_format']), ['parquet', 'csv'])}")
+    return Project(**(data | {"idle": (*idle, *products.unused(data.get("products", {}))), "areas": areas, "sensors": sensors, "channels": channels}))
 
 
 def load(path: str) -> Project:

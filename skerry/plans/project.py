@@ -24,6 +24,7 @@ from skerry.functions.values import flag
 from skerry.operators import acquire, cube, filters, match, neighbourhood, rasters, reduce, scenes
 from skerry.plans.config import CORRECTED, Area, Project, step_order
 from skerry.plans.fields import inputs_of
+from skerry.sources.files import read_points
 from skerry.sources.store import attributes_of, is_complete, stamp, write_table
 
 CELL = ["day", "row", "col"]
@@ -65,6 +66,8 @@ class Inputs:
         path = self.project.inputs.get(name)
         if path is None:
             return None
+        if name == "points" and path.endswith(".csv"):
+            return read_points(self.spark, path, self.project.points_columns)
         df = self.spark.read.parquet(path)
         df = df.where(F.col("area") == self.area.name).drop("area") if "area" in df.columns else df
         if "day" in df.columns:
@@ -346,7 +349,9 @@ class Steps:
         if o["mask_channel"] not in self.df.columns:
             return
         water = self.df.select("row", "col", F.col(o["mask_channel"]).alias("water")).distinct()
-        for c in o["sources"] or [c for c in self.df.columns if c == "mur_sst" or c.startswith("cmems_")]:
+        named = {"mur": ["mur_sst"], "cmems": [c for c in self.df.columns if c.startswith("cmems_")]}
+        wanted = [c for s in o["sources"] or named for c in named.get(s, [s])]  # products or channels
+        for c in (c for c in wanted if c in self.df.columns):
             filled = rasters.fill_nearest(self.df.select(*CELL, c).where(F.col(c).isNotNull()), water, self.grid, keys=["day"], value=c)
             filled = filled.select(*CELL, F.col("value").alias(f"{c}_gapfilled"), F.col("filled").cast("int").alias(f"{c}_filled"))
             self.df = self.df.join(filled, CELL, "left")
@@ -459,8 +464,11 @@ def run(spark: SparkSession, project: Project, *, areas: list[str] | None = None
                 report[key] = "kept"
             else:
                 df = make()
-                if project.block_days and name != "points":
-                    df = cube.day_blocks(df, project.start, project.block_days)
+                if name != "points":
+                    days = project.block_days or project.memory_budget_gb and cube.block_days(df, grid_of(project, area), int(project.memory_budget_gb * 2**30))
+                    df = cube.day_blocks(df, project.start, days) if days else df
+                elif project.points_format == "csv":
+                    write_table(df, f"{at[name]}_csv", "csv")
                 write_table(df, at[name])
                 stamp(spark, at[name], {"settings": settings, "area": area.name, "start": project.start, "end": project.end, "inputs": {c: inputs_of(c) for c in df.columns if c not in CELL} if name != "points" else {}})
                 report[key] = "written"

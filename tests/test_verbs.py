@@ -5,7 +5,7 @@ import json
 import pytest
 
 from skerry.__main__ import VERBS, main
-from skerry.plans.config import parse
+from skerry.plans.config import SettingsError, parse
 from skerry.plans.products import PRODUCTS, order
 
 
@@ -65,3 +65,59 @@ def test_products_and_their_order():
     assert order(["tides", "mur", "landsat", "modis_ref"]) == ["landsat", "mur", "modis_ref", "tides"]
     p = parse({"areas": [{"name": "a", "lat": 1.0, "lon": 1.0, "ns_km": 1, "ew_km": 1}], "start": "2024-01-01", "end": "2024-01-01", "products": {"met": {"sources": ["era5"]}}, "regions": {"a": {"met": {"sources": ["hrrr"]}}}})
     assert p.product("met", "a")["sources"] == ["hrrr"] and p.product("met")["sources"] == ["era5"] and p.product("met")["reference_time"] == "10:30"
+
+
+NESTED = """
+name: example
+output_dir: {out}
+time: {{start_date: "2024-06-01", end_date: "2024-06-02"}}
+auth: {{earthdata: netrc}}
+runtime: {{jobs: 4, assemble_jobs: 2}}
+grid: {{resolution_m: 100, target_crs: auto, resampling_continuous: bilinear}}
+products:
+  mur: {{access: opendap}}
+  landcover:
+  tides: {{sources: [coops]}}
+datacube: {{chunks: {{time: 64}}, met_time: daily_mean, insitu: false, insitu_max_dt_min: 30, block_days: auto, memory_budget_gb: 0.001}}
+preprocess:
+  enabled: true
+  steps:
+    fill_water: {{sources: [mur, cmems]}}
+    filter_clouds:
+extract:
+  points: {points}
+  columns: {{point_id: site}}
+  format: csv
+  channels:
+    mur_sst:
+    mur_sst_gapfilled: {{radius_m: 150, stat: [nanmean, count_valid]}}
+    landcover_water: max
+regions:
+  - name: somewhere
+    sources:
+      tides: {{sources: [eo_tides]}}
+    areas:
+      - {{name: bay, center_lat: 50.0, center_lon: 3.0, buffer_ns_km: 0.5, buffer_ew_km: 0.5}}
+inputs: {{daily: {daily}, static: {static}}}
+"""
+
+
+def test_settings_in_nested_blocks(spark, settings, tmp_path):
+    yaml = pytest.importorskip("yaml")
+    from skerry.plans.project import run
+
+    points = tmp_path / "sites.csv"
+    points.write_text("site,latitude,longitude\np1,50.0,3.0\np2,10,10\n")
+    text = NESTED.format(out=tmp_path / "nested", points=points, daily=tmp_path / "daily", static=tmp_path / "static")
+    p = parse(yaml.safe_load(text))
+    assert (p.start, p.end, p.jobs, p.met_time, p.insitu, p.insitu_max_dt_min, p.points_format) == ("2024-06-01", "2024-06-02", 2, "daily_mean", False, 30, "csv")
+    assert p.areas[0].ew_km == 0.5 and p.product("tides", "bay")["sources"] == ["eo_tides"] and [(c.name, c.stat) for c in p.channels] == [("mur_sst", ("nearest",)), ("mur_sst_gapfilled", ("nanmean", "count_valid")), ("landcover_water", ("max",))]
+    assert set(p.idle) == {"auth", "datacube.chunks", "grid.resampling_continuous", "mur.access"}
+    run(spark, p)
+    csv = spark.read.option("header", True).csv(f"{tmp_path}/nested/bay/points_csv").where("variable = 'mur_sst' AND day = '2024-06-01'").collect()
+    assert [(r["point_id"], r["value"]) for r in csv] == [("p1", "284.0")]
+    bad = text.replace("resolution_m: 100", "resolutoin_m: 100").replace("center_lat", "centre_lat")
+    with pytest.raises(SettingsError) as e:
+        parse(yaml.safe_load(bad))
+    assert "did you mean 'resolution_m'" in str(e.value) and "did you mean 'center_lat'" in str(e.value)
+    assert parse(yaml.safe_load(text.replace("enabled: true", "enabled: false"))).steps == {}
