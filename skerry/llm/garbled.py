@@ -570,7 +570,8 @@ def garbled_keys(counts: DataFrame, *, times: float = 4, least: int = 5) -> Data
     forms = counts.where("n >= 2").repartition(tasks, "key").mapInArrow(_forms, "form string, word string, n_word long, wrong string, true string")
     keys = counts.mapInArrow(_variants, "form string, key string, n long, head string, tail string")
     strong = (F.col("n_word") >= least) & (F.col("n_word") >= times * F.col("n"))
-    good = keys.join(forms, "form").where(strong | (F.col("n_word") >= 1.5 * F.col("n"))).withColumn("strong", strong)
+    # both sides grow with the corpus: a sort-merge join, which spills and which adaptive execution may split
+    good = keys.hint("merge").join(forms, "form").where(strong | (F.col("n_word") >= 1.5 * F.col("n"))).withColumn("strong", strong)
     best = F.max(F.struct("strong", (-F.length("head") - F.length("tail")).alias("full"), "n_word", "word", "wrong", "true", "n")).alias("b")
     return good.groupBy("key").agg(best).select("key", F.col("b.word").alias("restored"), "b.wrong", "b.true", "b.n", F.col("b.n_word").alias("n_restored"), "b.strong")
 
