@@ -27,17 +27,17 @@ def _product(table: str, options: dict[str, Any], acquisition: str, regional: st
 #: The names of products, their options, what a region may override, known sources and required layers.
 PRODUCTS: dict[str, Product] = {
     "bathymetry": _product("bathymetry", {"sources": None, "datum_offset_m": None}, "cudem_index_cache cudem_urllist layer min_cudem_cover pad_deg resolution stats_subgrid_m", "datum_offset_m sources", "cudem gmrt", "depth depth_p25 depth_p75 elevation"),
-    "mur": _product("daily", {"overpass_sensors": None}, "access pad_deg short_name variable", "overpass_sensors", needs="sst valid", after="ecostress landsat modis"),
+    "mur": _product("daily", {}, "access overpass_sensors pad_deg short_name variable", "overpass_sensors", needs="sst valid", after="ecostress landsat modis"),
     "cmems": _product("ocean", {"sources": None, "variables": None, "depths": None}, "datasets pad_deg", "datasets sources", "my_global anfc_global", "valid"),
-    "ecostress": _product("scenes", {"versions": None}, "categorical layers short_name", needs="cloud sst valid water"),
+    "ecostress": _product("scenes", {}, "categorical layers short_name versions", needs="cloud sst valid water"),
     "landsat": _product("scenes", {}, "cloud_cover_max collection masking platforms source stac_url", "collection source stac_url", needs="cloud sst valid water"),
-    "modis": _product("scenes", {"platforms": None, "quality_min": None, "time_of_day": "both", "night_solar_hours": None}, "access daytime_only regrid_radius_m short_name variable", sources="terra aqua", needs="sst valid"),
-    "modis_ref": _product("scenes", {"quality_min": None, "match_landsat": True, "max_time_diff_minutes": 30.0}, "access daytime_only footprint_id regrid_radius_m short_name time_of_day variable", needs="sst valid", after="landsat"),
+    "modis": _product("scenes", {}, "access daytime_only night_solar_hours platforms quality_min regrid_radius_m short_name time_of_day variable", sources="terra aqua", needs="sst valid"),
+    "modis_ref": _product("scenes", {}, "access daytime_only footprint_id match_landsat max_time_diff_minutes quality_min regrid_radius_m short_name time_of_day variable", needs="sst valid", after="landsat"),
     "met": _product("met", {"sources": None, "variables": None, "reference_time": "10:30", "reference_basis": "solar"}, "daily_mean_hours era5_zarr fxx model pad_deg product regrid_radius_m", "model sources", "hrrr era5"),
-    "met_overpass": _product("snapshots", {"combinations": (), "variables": None, "sources": None}, "era5_zarr fxx model pad_deg product regrid_radius_m", "combinations model sources", "hrrr era5", after="ecostress landsat modis"),
+    "met_overpass": _product("snapshots", {"combinations": (), "variables": None}, "era5_zarr fxx model pad_deg product regrid_radius_m sources", "combinations model sources", "hrrr era5", after="ecostress landsat modis"),
     "tides": _product("series", {"sources": None, "overpass_combinations": ()}, "interval max_distance_km model model_directory stations warn_distance_km", "model model_directory overpass_combinations sources stations", "coops eo_tides", "tide"),
     "landcover": _product("static", {}, "collection source stac_url water_classes year", "collection source stac_url", "esa worldcover", "landcover water"),
-    "insitu": _product("readings", {"sources": None, "exclude_stations": (), "stations": (), "max_sensor_depth_m": None, "qc_pass_values": None, "max_position_drift_m": 1000.0}, "columns default_station_id pad_deg path qc_flags time_zone units variables", "exclude_stations path sources stations variables", "ioos csv", "qc sst"),
+    "insitu": _product("readings", {"exclude_stations": (), "stations": (), "max_sensor_depth_m": None, "qc_pass_values": None, "max_position_drift_m": 1000.0}, "columns default_station_id pad_deg path qc_flags sources time_zone units variables", "exclude_stations path sources stations variables", "ioos csv", "qc sst"),
 }
 #: The prefix of each overpass sensor's channels.
 PREFIX = {"ecostress": "eco", "landsat": "lst", "modis": "modis", "modis_ref": "modisref"}
