@@ -47,7 +47,7 @@ def bracket(targets: DataFrame, series: DataFrame, *, key: str, target_id: str,
     """``target_id, t0, t1, v1, t2, v2``: the last value at or before and the first at or after each target (us; NULL if none).
 
     Rows of one key and time block are ordered together; values from beyond a block come from the ends of the other blocks, so no
-    task orders the whole of a hot key.
+    task orders the whole of a hot key. Looking on is by ``lead``: Spark runs a frame that reaches to the end again for every row.
     """
     size = block_days * 86_400_000_000
     s = series.select(F.col(key).alias("k"), _us(time).alias("t"), F.col(value).cast("double").alias("v")).where(finite(F.col("v")) & F.col("t").isNotNull())
@@ -55,10 +55,11 @@ def bracket(targets: DataFrame, series: DataFrame, *, key: str, target_id: str,
     q = targets.select(F.col(key).alias("k"), _us(at).alias("t"), F.lit(None).cast("struct<t:bigint,v:double>").alias("p"), F.col(target_id).cast("string").alias("id")).where("t IS NOT NULL AND id IS NOT NULL")
     u = s.unionByName(q).withColumn("block", F.floor(F.col("t") / size))
     w = W.partitionBy("k", "block").orderBy("t")
-    u = u.withColumns({"p1": F.last("p", True).over(w.rangeBetween(W.unboundedPreceding, W.currentRow)), "p2": F.first("p", True).over(w.rangeBetween(W.currentRow, W.unboundedFollowing))})
+    u = u.withColumns({"p1": F.last("p", True).over(w.rangeBetween(W.unboundedPreceding, W.currentRow)), "p2": F.expr("lead(p) IGNORE NULLS OVER (PARTITION BY k, block ORDER BY t)")})
+    u = u.withColumn("p2", F.when(F.col("p1.t") == F.col("t"), F.col("p1")).otherwise(F.col("p2")))
     ends = u.groupBy("k", "block").agg(F.min("p").alias("first"), F.max("p").alias("last"))
     wb = W.partitionBy("k").orderBy("block")
-    ends = ends.select("k", "block", F.last("last", True).over(wb.rowsBetween(W.unboundedPreceding, -1)).alias("b1"), F.first("first", True).over(wb.rowsBetween(1, W.unboundedFollowing)).alias("b2"))
+    ends = ends.select("k", "block", F.last("last", True).over(wb.rowsBetween(W.unboundedPreceding, -1)).alias("b1"), F.expr("lead(first) IGNORE NULLS OVER (PARTITION BY k ORDER BY block)").alias("b2"))
     out = u.where("id IS NOT NULL").join(ends, ["k", "block"]).withColumns({"p1": F.coalesce("p1", "b1"), "p2": F.coalesce("p2", "b2")})
     return out.select(F.col("id").alias(target_id), F.col("k").alias(key), F.col("t").alias("t0"), F.col("p1.t").alias("t1"), F.col("p1.v").alias("v1"), F.col("p2.t").alias("t2"), F.col("p2.v").alias("v2"))
 

@@ -128,6 +128,21 @@ def test_brackets_over_blocks(spark, rows):
         assert got == {"q1": 2.0, "q2": pytest.approx(12.0), "q3": None, "q4": 20.0, "q5": None}
 
 
+def test_brackets_in_one_long_block(spark):
+    n = 150_000
+    s = spark.range(n).select(F.lit("a").alias("k"), F.timestamp_seconds(10 * F.col("id")).alias("t"), F.when(F.col("id") % 7 > 0, F.col("id") % 1000).cast("double").alias("v"))
+    q = spark.range(0, 10 * n, 37).select(F.col("id").cast("string").alias("id"), F.lit("a").alias("k"), F.timestamp_seconds("id").alias("t"))
+    names = {"key": "k", "target_id": "id", "at": "t", "time": "t", "value": "v", "block_days": 400}
+    frames = match.bracket(q, s, **names)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedfollowing" not in frames  # such a frame takes the square of the block's rows
+    got = {int(r["id"]): r["value"] for r in match.value_between(q, s, **names).toLocalIterator()}
+    have = [i for i in range(n) if i % 7]
+    want = np.interp(range(0, 10 * n, 37), [10 * i for i in have], [i % 1000 for i in have], left=np.nan, right=np.nan)
+    assert len(got) == len(want)
+    for t, v in zip(range(0, 10 * n, 37), want):
+        assert got[t] is None if np.isnan(v) else got[t] == pytest.approx(v)
+
+
 def test_pooled_fit_of_one_row(spark):
     df = spark.createDataFrame([("x", 1.0, "2024-01-01"), ("y", None, "2024-01-01")], "k string, v double, d string").withColumn("d", F.to_date("d"))
     assert filters.sigma_fit(df, keys=["k"], value="v", day="d").collect()[0]["b0"] is None
